@@ -24,24 +24,30 @@ def confusion(df: DataFrame, label: str, prediction: str, *by: str) -> DataFrame
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def f1_from_confusion(counts: DataFrame, *by: str) -> DataFrame:
-    """Weighted F1 per group: each class's F1, weighted by its true rows."""
+def f1_from_confusion(counts: DataFrame, *by: str, hit: Column | None = None) -> DataFrame:
+    """Weighted F1 per group: each class's F1, weighted by its true rows.
+
+    ``hit`` marks predictions to count along the way.
+    """
+    zero, n = F.lit(0).cast("bigint"), F.col("n")
+    right = F.when(F.col("label") == F.col("prediction"), n).otherwise(zero)
+    marked = F.when(hit, n).otherwise(zero) if hit is not None else zero
     sides = F.array(
-        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"),
-                 F.lit(0).cast("bigint").alias("predicted"),
-                 F.when(F.col("label") == F.col("prediction"), F.col("n"))
-                 .otherwise(0).cast("bigint").alias("hits")),
-        F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("bigint").alias("support"),
-                 F.col("n").alias("predicted"), F.lit(0).cast("bigint").alias("hits")))
+        F.struct(F.col("label").alias("cls"), n.alias("support"), zero.alias("predicted"),
+                 right.alias("right"), marked.alias("marked")),
+        F.struct(F.col("prediction").alias("cls"), zero.alias("support"), n.alias("predicted"),
+                 zero.alias("right"), zero.alias("marked")))
+    sums = ("support", "predicted", "right", "marked")
     per_class = (counts.select(*by, F.inline(sides)).groupBy(*by, "cls")
-                 .agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"),
-                      F.sum("hits").alias("hits")))
-    f1 = F.try_divide(F.lit(2.0) * F.col("hits"), F.col("support") + F.col("predicted"))
-    rows = F.coalesce(F.sum("support"), F.lit(0)).cast("bigint")
-    return per_class.groupBy(*by).agg(
-        rows.alias("rows"),
-        F.try_divide(F.sum(F.col("support") * f1), F.sum("support").cast("double"))
-        .alias("weighted_f1"))
+                 .agg(*[F.sum(c).alias(c) for c in sums]))
+    f1 = F.try_divide(F.lit(2.0) * F.col("right"), F.col("support") + F.col("predicted"))
+    out = [F.coalesce(F.sum("support"), F.lit(0)).cast("bigint").alias("rows"),
+           F.try_divide(F.sum(F.col("support") * f1), F.sum("support").cast("double"))
+           .alias("weighted_f1")]
+    if hit is not None:
+        out.append(F.coalesce(F.sum("marked"), F.lit(0)).cast("bigint")
+                   .alias("predicted_converted"))
+    return per_class.groupBy(*by).agg(*out)
 
 
 def weighted_f1(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -90,3 +96,11 @@ def funnel_effectiveness(df: DataFrame, predicted: str, *by: str) -> DataFrame:
     result, so it means the same whichever way a model numbers its classes.
     """
     return df.groupBy(*[quoted(c) for c in by]).agg(*effectiveness(quoted(predicted)))
+
+
+def scorecard(scored: DataFrame, label: str, *by: str) -> DataFrame:
+    """Rows, weighted F1 and effectiveness per group, from one scan of scored leads."""
+    counts = (scored.groupBy(*by, quoted(label).alias("label"), "prediction", "predicted_status")
+              .agg(F.count(F.lit(1)).alias("n")))
+    card = f1_from_confusion(counts, *by, hit=F.col("predicted_status") == CONVERTED)
+    return card.withColumn("effectiveness", percent(F.col("predicted_converted"), F.col("rows")))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -22,6 +23,8 @@ from sluice.operators.encode import (
 #: Class texts behind the 0/1 label.
 BINARY = (CONVERTED, NOT_CONVERTED)
 SEED = 42
+#: Rows that justify one more task in iterative training.
+ROWS_PER_TASK = 50_000
 
 
 @dataclass(frozen=True)
@@ -96,9 +99,33 @@ class FunnelModel:
                    classifier, header["name"])
 
 
-def fit_features(recipe: Recipe, train: DataFrame) -> FittedFeatures:
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Hold a frame that is about to be read many times, with work for every core.
+
+    The cache is only a cache: a lost part is computed again from its source.
+    """
+    held = df.persist()
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        # Counting fills the cache, so that asking for the partitions is free.
+        tasks = min(cores, held.count() // ROWS_PER_TASK)
+        if held.rdd.getNumPartitions() < tasks:
+            spread = held.repartition(tasks).persist()
+            spread.count()
+            held.unpersist()
+            held = spread
+        yield held
+    finally:
+        held.unpersist()
+
+
+def training_frame(recipe: Recipe, train: DataFrame) -> DataFrame:
+    return train.select(*[quoted(c) for c in (*recipe.predictors, recipe.label)])
+
+
+def fit_features(recipe: Recipe, frame: DataFrame) -> FittedFeatures:
     """Fit everything in front of the classifier, on the training rows only."""
-    frame = train.select(*[quoted(c) for c in (*recipe.predictors, recipe.label)])
     encoding = None
     if recipe.target_means:
         encoding = fit_target_encoding(frame, recipe.target_means, recipe.label)
@@ -110,16 +137,10 @@ def fit_features(recipe: Recipe, train: DataFrame) -> FittedFeatures:
 
 
 def fit(recipe: Recipe, train: DataFrame) -> FunnelModel:
-    features = fit_features(recipe, train)
-    ready = _training_columns(recipe, features.transform(train)).persist()
-    try:
+    with kept(training_frame(recipe, train)) as frame:
+        features = fit_features(recipe, frame)
+        ready = features.transform(frame).select(recipe.features, recipe.classifier_label)
         return FunnelModel(features, recipe.classifier.fit(ready), recipe.name)
-    finally:
-        ready.unpersist()
-
-
-def _training_columns(recipe: Recipe, df: DataFrame) -> DataFrame:
-    return df.select(recipe.features, recipe.classifier_label)
 
 
 # -- recipes ----------------------------------------------------------------

@@ -10,6 +10,7 @@ from __future__ import annotations
 import itertools
 import random
 from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.evaluate import threshold_sweep, weighted_f1
 from sluice.operators.models import (
-    FunnelModel, FittedFeatures, Recipe, _training_columns, fit, fit_features,
+    FittedFeatures, FunnelModel, Recipe, fit, fit_features, kept, training_frame,
 )
 from sluice.sources.tables import run_records
 
@@ -105,61 +106,48 @@ class SearchResult:
 def param_search(recipe: Recipe, train: DataFrame, validation: DataFrame,
                  trials: Sequence[Mapping[str, object]], parallelism: int = 4) -> SearchResult:
     """Fit every trial on the training rows and score it on the validation rows."""
-    features = fit_features(recipe, train)
     fits: dict[tuple, list[int]] = {}
     for i, trial in enumerate(trials):
         key = tuple(sorted((k, v) for k, v in trial.items() if k != CUT_OFF))
         fits.setdefault(key, []).append(i)
     maps = [{recipe.classifier.getParam(k): v for k, v in key} for key in fits]
     groups = list(fits.values())
-    ready = [_training_columns(recipe, features.transform(d)).persist()
-             for d in (train, validation)]
-    scores: dict[int, float] = {}
-    try:
-        models = recipe.classifier.fitMultiple(ready[0], maps)
+    columns = (recipe.features, recipe.classifier_label)
+    with ExitStack() as held:
+        frame = held.enter_context(kept(training_frame(recipe, train)))
+        features = fit_features(recipe, frame)
+        ready = held.enter_context(kept(features.transform(frame).select(*columns)))
+        unseen = held.enter_context(kept(features.transform(validation).select(*columns)))
+        models = recipe.classifier.fitMultiple(ready, maps)
 
         def run(_: int) -> dict[int, float]:
             index, model = next(models)
-            members = groups[index]
-            scored = model.transform(ready[1])
-            cuts = {i: trials[i][CUT_OFF] for i in members if CUT_OFF in trials[i]}
-            out = {}
-            if cuts:
-                scored_1 = scored.withColumn("_score", vector_to_array("probability")[1])
-                sweep = threshold_sweep(scored_1, recipe.classifier_label, "_score",
-                                        list(cuts.values()))
-                by_cut = {r["threshold"]: r["weighted_f1"] for r in sweep.collect()}
-                out = {i: by_cut[float(t)] for i, t in cuts.items()}
-            if len(cuts) < len(members):
-                f1 = weighted_f1(scored, recipe.classifier_label).first()["weighted_f1"]
-                out |= {i: f1 for i in members if i not in cuts}
-            return out
+            return _trial_scores(recipe, model.transform(unseen),
+                                 {i: trials[i] for i in groups[index]})
 
+        scores: dict[int, float] = {}
         with ThreadPool(min(parallelism, len(maps))) as pool:
             for part in pool.imap_unordered(run, range(len(maps))):
                 scores |= part
-    finally:
-        for df in ready:
-            df.unpersist()
     return SearchResult(recipe, features,
                         tuple((i, dict(t), scores[i]) for i, t in enumerate(trials)))
 
 
+def _trial_scores(recipe: Recipe, scored: DataFrame,
+                  trials: Mapping[int, Mapping[str, object]]) -> dict[int, float]:
+    """F1 of the trials that share one fitted model."""
+    cuts = {i: float(t[CUT_OFF]) for i, t in trials.items() if CUT_OFF in t}
+    if not cuts:
+        f1 = weighted_f1(scored, recipe.classifier_label).first()["weighted_f1"]
+        return dict.fromkeys(trials, f1)
+    if len(cuts) < len(trials):
+        raise ValueError("either all trials set a cut-off or none does")
+    sweep = threshold_sweep(scored.withColumn("_score", vector_to_array("probability")[1]),
+                            recipe.classifier_label, "_score", list(cuts.values()))
+    by_cut = {r["threshold"]: r["weighted_f1"] for r in sweep.collect()}
+    return {i: by_cut[t] for i, t in cuts.items()}
+
+
 def retrain(recipe: Recipe, best: Mapping[str, object], train: DataFrame) -> FunnelModel:
     """Fit the best trial's parameters on the training rows."""
     return fit(recipe.with_classifier(**best), train)
-
-
-def split_scores(model: FunnelModel, recipe: Recipe, **splits: DataFrame) -> DataFrame:
-    """Scored rows and weighted F1 per named split.
-
-    The validation rows chose the parameters, so only the test score is an
-    unbiased one.
-    """
-    parts = [weighted_f1(model.score(df), recipe.classifier_label)
-             .select(F.lit(name).alias("split"), "rows", "weighted_f1")
-             for name, df in splits.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out

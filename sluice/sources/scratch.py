@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+_local: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
@@ -19,12 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get(SETTING, None)
     if base:
         return base.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="sluice-")
-    spark.conf.set(SETTING, base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="sluice-")
+    return _local[app]
 
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:

@@ -38,17 +38,9 @@ def create_database(spark: SparkSession, name: str, location: str | None = None,
         spark.sql(f"USE {_quoted(name)}")
 
 
-def save_table(df: DataFrame, name: str, cluster_key: str | None = None,
-               buckets: int | None = None) -> DataFrame:
-    """Replace a managed table with ``df`` and return the table as stored.
-
-    Bucketing by the join key lets every later join on that key skip its
-    shuffle; it pays off for tables that are joined more than once.
-    """
-    writer = df.write.mode("overwrite")
-    if cluster_key and buckets:
-        writer = writer.bucketBy(buckets, cluster_key).sortBy(cluster_key)
-    writer.saveAsTable(name)
+def save_table(df: DataFrame, name: str) -> DataFrame:
+    """Replace a managed table with ``df`` and return the table as stored."""
+    df.write.mode("overwrite").saveAsTable(name)
     return df.sparkSession.table(name)
 
 
