@@ -23,6 +23,8 @@ from sluice.operators.encode import (
 #: Class texts behind the 0/1 label.
 BINARY = (CONVERTED, NOT_CONVERTED)
 SEED = 42
+#: Spark's own number of split candidates per column.
+DEFAULT_BINS = 32
 #: Rows that justify one more task in iterative training.
 ROWS_PER_TASK = 50_000
 
@@ -196,14 +198,19 @@ def boosted(train: DataFrame, label: str = "label", exclude: Sequence[str] = (),
 
 def indexed_boosted(train: DataFrame, label: str = "label", exclude: Sequence[str] = (),
                     rounds: int = 20, depth: int = 5, step: float = 0.1,
-                    max_bins: int = 32, seed: int = SEED) -> Recipe:
+                    max_bins: int | None = None, seed: int = SEED) -> Recipe:
     """Frequency indices instead of target means in front of the boosted trees.
 
     ``max_bins`` has to cover the widest indexed column and its slot for
-    unseen categories.
+    unseen categories; by default it is taken from the data.
     """
     predictors = _predictors(train, label, exclude)
     texts = tuple(c for c in categorical_columns(train) if c in predictors)
+    if max_bins is None:
+        check_categories(train, texts)
+        widest = max(train.agg(
+            F.lit(0), *[F.count_distinct(quoted(c)) for c in texts]).first())
+        max_bins = max(DEFAULT_BINS, widest + 1)
     numbers = [c for c in predictors if c not in texts]
     stages = (string_indexer(texts), assembler([*numbers, *[c + "_si" for c in texts]],
                                                handle_invalid="keep"))
