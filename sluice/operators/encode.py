@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.columns import conversion_label, quoted
-from sluice.operators.joins import attach_lookup
+from sluice.operators.joins import attach_lookup, lookup_heavy_keys
 from sluice.sources.scratch import materialise
 
 #: A fitted index lives on the driver, so it is only built for columns with at
@@ -59,8 +59,11 @@ class TargetEncoding:
             lookup = (self.stats.where(F.col("column") == column)
                       .select(_category_key(F.col("category")).alias(key),
                               F.col("encoded").alias(value)))
-            out = attach_lookup(out.withColumn(key, _category_key(quoted(column))), lookup, key)
-            out = out.drop(key)
+            # Searched in the input, not in what the joins so far have made of it.
+            heavy = lookup_heavy_keys(df.select(_category_key(quoted(column)).alias(key)),
+                                      lookup, key)
+            out = attach_lookup(out.withColumn(key, _category_key(quoted(column))), lookup, key,
+                                heavy=heavy).drop(key)
         prior = F.lit(self.prior).cast("double")
         encoded = {c: F.coalesce(F.col(f"_enc{i}"), prior) for i, c in enumerate(self.columns)}
         return out.select(*[encoded[c].alias(c) if c in encoded else quoted(c)

@@ -164,22 +164,26 @@ def join_on_key(tables: Sequence[DataFrame], key: str,
     return joined.drop(_CELL)
 
 
+def lookup_heavy_keys(facts: DataFrame, lookup: DataFrame, key: str) -> HeavyKeys:
+    """Heavy keys of the facts where the lookup is too large to be broadcast."""
+    if facts.isStreaming:  # cannot be searched; its micro-batches are bounded instead
+        return HeavyKeys({})
+    limit = _as_bytes(facts.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    size = plan_bytes(lookup)
+    if size is not None and size <= limit:
+        return HeavyKeys({})
+    return heavy_keys([facts, lookup], key, audit=[_needs_audit(facts), False])
+
+
 def attach_lookup(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left",
                   heavy: HeavyKeys | None = None) -> DataFrame:
     """Join a table with one row per key onto a large one.
 
     Catalyst broadcasts the lookup when it is small.  A larger one is shuffled;
-    then the rows of heavy keys are spread out first.  A stream cannot be
-    searched for heavy keys; its micro-batches are bounded instead.
+    then the rows of heavy keys are spread out first.
     """
-    if heavy is None and facts.isStreaming:
-        heavy = HeavyKeys({})
     if heavy is None:
-        limit = facts.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-        size = plan_bytes(lookup)
-        small = size is not None and size <= _as_bytes(limit)
-        heavy = HeavyKeys({}) if small else heavy_keys(
-            [facts, lookup], key, audit=[_needs_audit(facts), False])
+        heavy = lookup_heavy_keys(facts, lookup, key)
     if not heavy:
         return facts.join(lookup, key, how)
     joined = (_on_grid(facts, key, 0, heavy)

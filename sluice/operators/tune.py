@@ -1,8 +1,9 @@
 """Hyper-parameter search on the validation split.
 
 The features are fitted once per search and kept for all trials; classifier
-fits run side by side.  A cut-off does not change a fit, so trials that differ
-in nothing else share one model and one scan of the validation rows.
+fits run side by side.  A cut-off does not change a fit, nor does an iteration
+cap that was not reached, so trials that differ in nothing else share one model
+and one scan of the validation rows.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from contextlib import ExitStack
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+from pyspark.ml import Model
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,7 @@ from sluice.operators.models import (
 from sluice.sources.tables import run_records
 
 CUT_OFF = "threshold"
+CAP = "maxIter"
 
 
 @dataclass(frozen=True)
@@ -105,34 +109,53 @@ class SearchResult:
 
 def param_search(recipe: Recipe, train: DataFrame, validation: DataFrame,
                  trials: Sequence[Mapping[str, object]], parallelism: int = 4) -> SearchResult:
-    """Fit every trial on the training rows and score it on the validation rows."""
-    fits: dict[tuple, list[int]] = {}
+    """Fit the trials on the training rows and score them on the validation rows."""
+    capped = isinstance(recipe.classifier, LogisticRegression)
+    fits: dict[tuple, dict[int, Mapping[str, object]]] = {}
     for i, trial in enumerate(trials):
-        key = tuple(sorted((k, v) for k, v in trial.items() if k != CUT_OFF))
-        fits.setdefault(key, []).append(i)
-    maps = [{recipe.classifier.getParam(k): v for k, v in key} for key in fits]
-    groups = list(fits.values())
+        shared = {CUT_OFF, CAP} if capped else {CUT_OFF}
+        key = tuple(sorted((k, v) for k, v in trial.items() if k not in shared))
+        fits.setdefault(key, {})[i] = trial
     columns = (recipe.features, recipe.classifier_label)
     with ExitStack() as held:
-        frame = held.enter_context(kept(training_frame(recipe, train)))
-        features = fit_features(recipe, frame)
-        ready = held.enter_context(kept(features.transform(frame).select(*columns)))
+        with kept(training_frame(recipe, train)) as frame:
+            features = fit_features(recipe, frame)
+            ready = held.enter_context(kept(features.transform(frame).select(*columns)))
         unseen = held.enter_context(kept(features.transform(validation).select(*columns)))
-        models = recipe.classifier.fitMultiple(ready, maps)
 
-        def run(_: int) -> dict[int, float]:
-            index, model = next(models)
-            return _trial_scores(recipe, model.transform(unseen),
-                                 {i: trials[i] for i in groups[index]})
+        def run(group: Mapping[int, Mapping[str, object]]) -> dict[int, float]:
+            scores: dict[int, float] = {}
+            while left := {i: t for i, t in group.items() if i not in scores}:
+                model, members = _fit_largest(recipe, ready, left)
+                scores |= _trial_scores(recipe, model.transform(unseen), members)
+            return scores
 
         scores: dict[int, float] = {}
-        with ThreadPool(min(parallelism, len(maps))) as pool:
-            for part in pool.imap_unordered(run, range(len(maps))):
+        with ThreadPool(min(parallelism, len(fits))) as pool:
+            for part in pool.imap_unordered(run, fits.values()):
                 scores |= part
     return SearchResult(recipe, features,
                         tuple((i, dict(t), scores[i]) for i, t in enumerate(trials)))
 
 
+def _fit_largest(recipe: Recipe, ready: DataFrame, trials: Mapping[int, Mapping[str, object]]
+                 ) -> tuple[Model, dict[int, Mapping[str, object]]]:
+    """One fit, and the trials it stands for.
+
+    A fit that converged before its iteration cap is the fit of every cap from
+    there on, so the trial with the largest cap goes first.
+    """
+    cap = {i: t.get(CAP) for i, t in trials.items()}
+    first = max(trials, key=lambda i: cap[i] or 0)
+    params = {recipe.classifier.getParam(k): v for k, v in trials[first].items() if k != CUT_OFF}
+    model = recipe.classifier.copy(params).fit(ready)
+    if not isinstance(recipe.classifier, LogisticRegression) or cap[first] is None:
+        return model, {i: t for i, t in trials.items() if cap[i] == cap[first]}
+    needed = model.summary.totalIterations
+    return model, {i: t for i, t in trials.items()
+                   if cap[i] == cap[first] or (cap[i] or 0) >= needed}
+
+
 def _trial_scores(recipe: Recipe, scored: DataFrame,
                   trials: Mapping[int, Mapping[str, object]]) -> dict[int, float]:
     """F1 of the trials that share one fitted model."""

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.columns import conversion_label, quoted
@@ -14,7 +15,7 @@ from sluice.operators.clean import trim_names
 from sluice.operators.encode import unlabelled_rows
 from sluice.operators.evaluate import scorecard
 from sluice.operators.profile import column_profile, duplicate_audit, table_shape
-from sluice.operators.split import split
+from sluice.operators.split import NAMES, split_name
 from sluice.plans import funnel
 from sluice.sources import files, tables
 from sluice.sources.scratch import materialise
@@ -92,11 +93,13 @@ def train_funnel_model(spark: SparkSession, leads: DataFrame, kind: str,
     named = trim_names(leads)
     status = quoted(funnel.STATUS)
     labelled = (named.where(status.isNotNull())
-                .withColumn("label", conversion_label(status)))
-    # Written once: the splits are then scans, not repeats of whatever made the leads.
-    stored = materialise(labelled, "leads")
-    train, validation, test = split(stored, keys)
-    predictors, _ = funnel.model_table(stored.drop(funnel.STATUS))
+                .withColumn("label", conversion_label(status))
+                .withColumn("split", split_name([quoted(c) for c in keys or named.columns])))
+    # Written once, a folder per split: later scans read their split alone.
+    stored = materialise(labelled, "leads", "split")
+    train, validation, test = [stored.where(F.col("split") == name).drop("split")
+                               for name in NAMES]
+    predictors, _ = funnel.model_table(train.drop(funnel.STATUS))
     recipe = builder(predictors, "label")
     found = tune.param_search(recipe, train, validation,
                               trials or tune.draw_trials(space), parallelism)

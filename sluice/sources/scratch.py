@@ -35,11 +35,12 @@ def fresh_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
+def materialise(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     """Write once and read back: short lineage, known size, survives lost executors."""
     path = fresh_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[
+        "`" + c.replace("`", "``") + "`" for c in df.columns])
 
 
 def plan_bytes(df: DataFrame) -> int | None:
