@@ -12,6 +12,7 @@ rows meets in exactly one cell, so the result is the plain join's result.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -30,8 +31,10 @@ HEAVY_SHARE = 0.01
 #: Tables below this size are not searched for heavy keys: any one key of
 #: theirs fits a single task.
 HEAVY_FLOOR_BYTES = 256 << 20
-#: Coordinates on one table's axis; parallelism per key, not a limit on rows.
+#: Coordinates on one table's axis and cells of one key: how many tasks may share
+#: a key, not how many rows it may have.
 MAX_AXIS = 64
+MAX_CELLS = 1024
 
 _CELL = "_cell"
 
@@ -109,34 +112,53 @@ def heavy_keys(tables: Sequence[DataFrame], key: str, share: float = HEAVY_SHARE
             if n > share * totals[i]:
                 axes.setdefault(value, [1] * len(tables))[i] = min(
                     max_axis, max(2, math.ceil(n / (share * totals[i]))))
-    return HeavyKeys({v: tuple(a) for v, a in axes.items()})
+    return HeavyKeys({v: _bounded(a) for v, a in axes.items()})
+
+
+def _bounded(axes: Sequence[int]) -> tuple[int, ...]:
+    """Halve the longest axes until the grid is small enough."""
+    axes = list(axes)
+    while math.prod(axes) > MAX_CELLS:
+        longest = axes.index(max(axes))
+        axes[longest] = max(1, axes[longest] // 2)
+    return tuple(axes)
+
+
+def _slab(axes: Sequence[int], axis: int) -> tuple[int, int, list[int]]:
+    """Coordinates on a table's own axis, cells from one to the next, and the
+    cells of coordinate 0: all combinations of the other tables' coordinates."""
+    strides = [math.prod(axes[:j]) for j in range(len(axes))]
+    others = [range(0, n * step, step) for j, (n, step) in enumerate(zip(axes, strides))
+              if j != axis]
+    return axes[axis], strides[axis], [sum(c) for c in itertools.product(*others)]
 
 
 def _on_grid(table: DataFrame, key: str, axis: int, heavy: HeavyKeys) -> DataFrame:
-    """Give each row its cells: one for ordinary keys, a slab for heavy ones."""
-    spark = table.sparkSession
-    key_type = table.schema[key].dataType
-    width = len(next(iter(heavy.axes.values())))
-    schema = T.StructType([T.StructField(key, key_type),
-                           T.StructField("_axes", T.ArrayType(T.IntegerType()))])
-    # At most width / share rows, see HEAVY_SHARE; hence the hint.
-    grid = F.broadcast(spark.createDataFrame(
-        [(value, list(axes)) for value, axes in heavy.axes.items()], schema))
-    ordinary = F.array(*[F.lit(1)] * width)
-    sized = (table.join(grid, key, "left")
-             .withColumn("_axes", F.coalesce("_axes", ordinary)))
-    own = salted(table, F.col("_axes")[axis])
-    # Mixed-radix number of a cell: the coordinate on axis j counts stride_j.
-    stride = F.lit(1)
-    for j in range(axis):
-        stride = stride * F.col("_axes")[j]
-    total = reduce(lambda a, b: a * b, [F.col("_axes")[j] for j in range(width)])
-    placed = sized.withColumn("_own", own).withColumn("_stride", stride)
-    cells = F.filter(
-        F.sequence(F.lit(0), total - 1),
-        lambda c: F.pmod(F.floor(c / F.col("_stride")).cast("int"), F.col("_axes")[axis])
-        == F.col("_own"))
-    return placed.withColumn(_CELL, F.explode(cells)).drop("_axes", "_own", "_stride")
+    """Give each row its cells: cell 0 for ordinary keys, a slab for heavy ones.
+
+    Only rows of heavy keys are hashed, and rows are copied only where another
+    table has coordinates for the same key.
+    """
+    slabs = {value: _slab(axes, axis) for value, axes in heavy.axes.items()}
+    schema = T.StructType([
+        T.StructField(key, table.schema[key].dataType), T.StructField("_splits", T.IntegerType()),
+        T.StructField("_stride", T.IntegerType()),
+        T.StructField("_slab", T.ArrayType(T.IntegerType()))])
+    # At most tables / share rows, see HEAVY_SHARE, of at most MAX_CELLS numbers; hence the hint.
+    grid = F.broadcast(table.sparkSession.createDataFrame(
+        [(value, *slab) for value, slab in slabs.items()], schema))
+    sized = table.join(grid, key, "left")
+    own = F.lit(0)
+    if any(splits > 1 for splits, _, _ in slabs.values()):
+        own = (F.when(F.col("_splits") > 1, salted(table, F.col("_splits")) * F.col("_stride"))
+               .otherwise(0))
+    if all(len(cells) == 1 for _, _, cells in slabs.values()):
+        cell = own
+    else:
+        sized = sized.withColumn("_own", own)
+        cell = F.explode(F.when(F.col("_slab").isNull(), F.array(F.lit(0))).otherwise(
+            F.transform("_slab", lambda c: c + F.col("_own"))))
+    return sized.withColumn(_CELL, cell).drop("_splits", "_stride", "_slab", "_own")
 
 
 def _needs_audit(table: DataFrame) -> bool:
