@@ -126,11 +126,17 @@ def training_frame(recipe: Recipe, train: DataFrame) -> DataFrame:
     return train.select(*[quoted(c) for c in (*recipe.predictors, recipe.label)])
 
 
-def fit_features(recipe: Recipe, frame: DataFrame) -> FittedFeatures:
-    """Fit everything in front of the classifier, on the training rows only."""
+def fit_features(recipe: Recipe, frame: DataFrame,
+                 means_on: DataFrame | None = None) -> FittedFeatures:
+    """Fit everything in front of the classifier, on the training rows.
+
+    ``means_on`` names other rows for the target means, such as all rows, which
+    shows the model the labels of the held-out ones.
+    """
     encoding = None
     if recipe.target_means:
-        encoding = fit_target_encoding(frame, recipe.target_means, recipe.label)
+        encoding = fit_target_encoding(frame if means_on is None else means_on,
+                                       recipe.target_means, recipe.label)
         frame = encoding.transform(frame)
     check_categories(frame, recipe.indexed)
     stages = Pipeline(stages=list(recipe.stages)).fit(frame)
@@ -138,9 +144,9 @@ def fit_features(recipe: Recipe, frame: DataFrame) -> FittedFeatures:
     return FittedFeatures(encoding, stages, tuple(names or BINARY))
 
 
-def fit(recipe: Recipe, train: DataFrame) -> FunnelModel:
+def fit(recipe: Recipe, train: DataFrame, means_on: DataFrame | None = None) -> FunnelModel:
     with kept(training_frame(recipe, train)) as frame:
-        features = fit_features(recipe, frame)
+        features = fit_features(recipe, frame, means_on)
         ready = features.transform(frame).select(recipe.features, recipe.classifier_label)
         return FunnelModel(features, recipe.classifier.fit(ready), recipe.name)
 

@@ -108,7 +108,8 @@ class SearchResult:
 
 
 def param_search(recipe: Recipe, train: DataFrame, validation: DataFrame,
-                 trials: Sequence[Mapping[str, object]], parallelism: int = 4) -> SearchResult:
+                 trials: Sequence[Mapping[str, object]], parallelism: int = 4,
+                 means_on: DataFrame | None = None) -> SearchResult:
     """Fit the trials on the training rows and score them on the validation rows."""
     capped = isinstance(recipe.classifier, LogisticRegression)
     fits: dict[tuple, dict[int, Mapping[str, object]]] = {}
@@ -119,7 +120,7 @@ def param_search(recipe: Recipe, train: DataFrame, validation: DataFrame,
     columns = (recipe.features, recipe.classifier_label)
     with ExitStack() as held:
         with kept(training_frame(recipe, train)) as frame:
-            features = fit_features(recipe, frame)
+            features = fit_features(recipe, frame, means_on)
             ready = held.enter_context(kept(features.transform(frame).select(*columns)))
         unseen = held.enter_context(kept(features.transform(validation).select(*columns)))
 
@@ -171,6 +172,7 @@ def _trial_scores(recipe: Recipe, scored: DataFrame,
     return {i: by_cut[t] for i, t in cuts.items()}
 
 
-def retrain(recipe: Recipe, best: Mapping[str, object], train: DataFrame) -> FunnelModel:
+def retrain(recipe: Recipe, best: Mapping[str, object], train: DataFrame,
+            means_on: DataFrame | None = None) -> FunnelModel:
     """Fit the best trial's parameters on the training rows."""
-    return fit(recipe.with_classifier(**best), train)
+    return fit(recipe.with_classifier(**best), train, means_on)

@@ -281,13 +281,23 @@ def split_three_way(spark, folder):
                         split_name([F.col("Customer_ID")]).alias("split"))
 
 
+def _target_encoded(leads: DataFrame, fitted_on: DataFrame) -> DataFrame:
+    columns = ["Lead_Source", "Profession", "City", "Location"]
+    encoding = encode.fit_target_encoding(fitted_on, columns, "label")
+    return _rounded(encoding.transform(leads).select("Lead_ID", *columns))
+
+
 @query
 def target_encode(spark, folder):
     leads = _labelled(spark, folder)
-    encoding = encode.fit_target_encoding(
-        _splits(leads)[0], ["Lead_Source", "Profession", "City", "Location"], "label")
-    return _rounded(encoding.transform(leads)
-                    .select("Lead_ID", "Lead_Source", "Profession", "City", "Location"))
+    return _target_encoded(leads, _splits(leads)[0])
+
+
+@query
+def target_encode_all_rows(spark, folder):
+    """Means fitted before the split, held-out labels included."""
+    leads = _labelled(spark, folder)
+    return _target_encoded(leads, leads)
 
 
 @query

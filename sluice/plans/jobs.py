@@ -35,15 +35,18 @@ class Audit:
 
 
 def load_marketing(spark: SparkSession, path: str, table: str,
-                   schema: T.StructType | None = None) -> DataFrame:
-    """Marketing CSV to cleaned table."""
-    return tables.save_table(funnel.clean_marketing(files.read_csv(spark, path, schema)), table)
+                   schema: T.StructType | None = None,
+                   types: Mapping[str, str] | None = None) -> DataFrame:
+    """Marketing CSV to cleaned table.  See ``read_csv`` for schema and types."""
+    raw = files.read_csv(spark, path, schema, types)
+    return tables.save_table(funnel.clean_marketing(raw), table)
 
 
 def load_sales(spark: SparkSession, path: str, table: str,
-               schema: T.StructType | None = None, partitions: int | None = None) -> DataFrame:
+               schema: T.StructType | None = None, types: Mapping[str, str] | None = None,
+               partitions: int | None = None) -> DataFrame:
     """Sales CSV, with line breaks inside its fields, to cleaned table."""
-    raw = files.read_csv_multiline(spark, path, schema, partitions)
+    raw = files.read_csv_multiline(spark, path, schema, types, partitions)
     return tables.save_table(funnel.clean_sales(raw), table)
 
 
@@ -82,12 +85,13 @@ def train_funnel_model(spark: SparkSession, leads: DataFrame, kind: str,
                        model_path: str | None = None, runs_table: str | None = None,
                        keys: Sequence[str] | None = (funnel.KEY,),
                        trials: Sequence[Mapping[str, object]] | None = None,
-                       parallelism: int = 4) -> TrainingRun:
+                       parallelism: int = 4, means_from_all: bool = False) -> TrainingRun:
     """Split, search, retrain, score the test leads, record and save.
 
     ``leads`` may still hold identifiers and other columns that must not
     predict; they are left out of the predictors but serve to split.  The
-    trials default to the kind's whole search space.
+    trials default to the kind's whole search space.  ``means_from_all`` fits the
+    target means on all leads before the split; the scores are then optimistic.
     """
     builder, space = KINDS[kind]
     named = trim_names(leads)
@@ -101,9 +105,10 @@ def train_funnel_model(spark: SparkSession, leads: DataFrame, kind: str,
                                for name in NAMES]
     predictors, _ = funnel.model_table(train.drop(funnel.STATUS))
     recipe = builder(predictors, "label")
+    means_on = stored.drop("split") if means_from_all else None
     found = tune.param_search(recipe, train, validation,
-                              trials or tune.draw_trials(space), parallelism)
-    model = tune.retrain(recipe, found.best, train)
+                              trials or tune.draw_trials(space), parallelism, means_on)
+    model = tune.retrain(recipe, found.best, train, means_on)
     scores = scorecard(model.score(test), recipe.classifier_label)
     if runs_table:
         tables.append_runs(found.frame(spark), runs_table)

@@ -99,16 +99,16 @@ FROM people JOIN marketing USING ("Customer_ID") JOIN unique_sales USING ("Custo
 _ENCODED = ("Lead_Source", "Profession", "City", "Location")
 
 
-def _target_encode() -> str:
+def _target_encode(rows: str) -> str:
     stats = ",".join(f"""
   m_{c} AS (
     SELECT "{c}" AS level,
            prior + (avg(label) - prior) / (1 + exp(-(count(*) - 20.0::DOUBLE) / 10.0::DOUBLE)) AS enc
-    FROM leads, prior WHERE split = 'train' GROUP BY "{c}", prior)""" for c in _ENCODED)
+    FROM leads, prior WHERE {rows} GROUP BY "{c}", prior)""" for c in _ENCODED)
     picks = ", ".join(f'round(coalesce(m_{c}.enc, prior), 6) AS "{c}"' for c in _ENCODED)
     joins = " ".join(f'LEFT JOIN m_{c} ON leads."{c}" = m_{c}.level' for c in _ENCODED)
     return f"""
-WITH {LEADS}, prior AS (SELECT avg(label) AS prior FROM leads WHERE split = 'train'), {stats}
+WITH {LEADS}, prior AS (SELECT avg(label) AS prior FROM leads WHERE {rows}), {stats}
 SELECT leads."Lead_ID", {picks} FROM prior, leads {joins}"""
 
 
@@ -234,7 +234,8 @@ FROM scored GROUP BY 1""",
     "column_profile": _profile(),
     "label_binarize": f'WITH {LEADS} SELECT "Lead_ID", "Conversion_Status", label FROM leads',
     "split_three_way": f'WITH {LEADS} SELECT "Lead_ID", "Customer_ID", split FROM leads',
-    "target_encode": _target_encode(),
+    "target_encode": _target_encode("split = 'train'"),
+    "target_encode_all_rows": _target_encode("true"),
     "rformula_encode": _rformula(),
     "standard_scale": f"""
 WITH {LEADS},

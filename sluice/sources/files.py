@@ -2,38 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
+from sluice.functions.columns import quoted
+
 # The columns of the two lead-funnel CSV files that later steps
-# name.  The real files are wider; pass your own schema for those.
-MARKETING_SCHEMA = T.StructType([
-    T.StructField("Customer_ID", T.StringType()),
-    T.StructField("Device_Type", T.StringType()),
-    T.StructField("Email_Open_Rate(%)", T.DoubleType()),
-    T.StructField("Click-Through_Rate_on_open_email_(%)", T.DoubleType()),
-])
-SALES_SCHEMA = T.StructType([
-    T.StructField("Customer_ID", T.StringType()),
-    T.StructField("Order_ID", T.StringType()),
-    T.StructField("Interest_Rates_(%)", T.DoubleType()),
-    T.StructField("Time_to_purchase(Days)", T.IntegerType()),
-])
-
-
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+# name.  The files are wider; their other columns stay text.
+MARKETING_TYPES = {
+    "Customer_ID": "string",
+    "Device_Type": "string",
+    "Email_Open_Rate(%)": "double",
+    "Click-Through_Rate_on_open_email_(%)": "double",
+}
+SALES_TYPES = {
+    "Customer_ID": "string",
+    "Order_ID": "string",
+    "Interest_Rates_(%)": "double",
+    "Time_to_purchase(Days)": "int",
+}
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             types: Mapping[str, str] | None = None) -> DataFrame:
     """A CSV file with a header row.
 
-    A schema saves the extra pass that type inference costs; without one the
-    types are inferred.  A blank header becomes ``_cN``.
+    ``schema`` names all columns in the order of the file.  ``types`` names any
+    of them; the rest stay text, and values that do not fit become null.  With
+    neither, types are inferred at the price of reading the file twice.  A
+    blank header becomes ``_cN``.
     """
-    reader = spark.read.option("header", True)
-    if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+    return _read(spark.read.option("header", True), path, schema, types)
 
 
 def read_csv_multiline(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                       types: Mapping[str, str] | None = None,
                        partitions: int | None = None) -> DataFrame:
     """A CSV file whose quoted fields hold newlines and doubled quotes.
 
@@ -43,11 +48,23 @@ def read_csv_multiline(spark: SparkSession, path: str, schema: T.StructType | No
     """
     reader = (spark.read.option("header", True)
               .option("multiLine", True).option("escape", '"'))
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    df = reader.csv(path)
+    df = _read(reader, path, schema, types)
     return df.repartition(partitions) if partitions else df
 
 
+def _read(reader: DataFrameReader, path: str, schema: T.StructType | None,
+          types: Mapping[str, str] | None) -> DataFrame:
+    if schema is not None:
+        return reader.schema(schema).csv(path)
+    if types is None:
+        return reader.option("inferSchema", True).csv(path)
+    df = reader.csv(path)
+    wanted = {name.strip(): kind for name, kind in types.items()}
+    return df.select(*[
+        quoted(c).try_cast(wanted[c.strip()]).alias(c) if c.strip() in wanted else quoted(c)
+        for c in df.columns])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Write so that :func:`read_csv_multiline` gets every character back."""
     (df.write.option("header", True).option("escape", '"')

@@ -98,6 +98,15 @@ def test_lookup_beyond_the_broadcast_limit(spark, skewed, monkeypatch):
     assert bag(chain) == bag(skewed[0].join(skewed[1], "k").join(skewed[2], "k"))
 
 
+def test_maps_do_not_stand_in_the_way(spark):
+    facts = spark.range(60).selectExpr("IF(id % 2 = 0, 7, id) AS k", "map('a', id) AS m",
+                                       "array(named_struct('x', map(1, id))) AS nested")
+    lookup = spark.range(60).selectExpr("id AS k", "id AS z")
+    heavy = joins.heavy_keys([facts, lookup], "k", audit=[True, False], share=0.2)
+    got = joins.attach_lookup(facts, lookup, "k", heavy=heavy)
+    assert sorted(r.m["a"] for r in got.collect()) == list(range(60))
+
+
 def test_join_size_predicts_the_join(four, skewed):
     for tables in (four, skewed):
         row = joins.join_size(tables, "k").first()

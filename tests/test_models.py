@@ -177,3 +177,6 @@ def test_jobs_from_csv_to_report(spark, planted, tmp_path):
     again = models.FunnelModel.load(spark, str(tmp_path / "model")).score(funnel)
     assert again.count() == 1200 and "predicted_status" in again.columns
     assert run.unlabelled.first().unlabelled_rows == 0
+    leaky = jobs.train_funnel_model(spark, funnel, "boosted", means_from_all=True,
+                                    trials=[{"maxDepth": 2, "maxIter": 2, "stepSize": 0.3}])
+    assert leaky.scores.first().rows == card.rows and leaky.trials.count() == 1

@@ -32,6 +32,16 @@ def test_explicit_schema_is_used_as_given(spark, tmp_path):
     assert files.read_csv_multiline(spark, path, schema, partitions=3).rdd.getNumPartitions() == 3
 
 
+def test_types_by_name_need_no_order(spark, tmp_path):
+    path = write(tmp_path / "t.csv", "Extra,Email_Open_Rate(%),Customer_ID \nx,1.5,7\ny,oops,8\n")
+    df = files.read_csv(spark, path, types=files.MARKETING_TYPES)
+    assert df.dtypes == [("Extra", "string"), ("Email_Open_Rate(%)", "double"),
+                         ("Customer_ID ", "string")]
+    assert [tuple(r) for r in df.collect()] == [("x", 1.5, "7"), ("y", None, "8")]
+    again = files.read_csv_multiline(spark, path, types=files.SALES_TYPES)
+    assert dict(again.dtypes)["Email_Open_Rate(%)"] == "string"
+
+
 def test_written_csv_reads_back_unchanged(spark, tmp_path):
     rows = [(1, '  padded "x" '), (2, "two\nlines, and a comma"), (3, "back\\slash")]
     df = spark.createDataFrame(rows, "k int, v string")
