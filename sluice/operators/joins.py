@@ -15,10 +15,10 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,12 +41,16 @@ _CELL = "_cell"
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Key value -> coordinates per table (1 where the key is not heavy)."""
+    """Key value -> coordinates per table (1 where the key is not heavy).
+
+    ``nulls`` asks for rows without a key to be spread out as well.
+    """
 
     axes: Mapping[object, tuple[int, ...]]
+    nulls: bool = False
 
     def __bool__(self) -> bool:
-        return bool(self.axes)
+        return bool(self.axes) or self.nulls
 
 
 def shared_names(tables: Sequence[DataFrame], keys: Sequence[str]) -> list[str]:
@@ -139,6 +143,8 @@ def _on_grid(table: DataFrame, key: str, axis: int, heavy: HeavyKeys) -> DataFra
     Only rows of heavy keys are hashed, and rows are copied only where another
     table has coordinates for the same key.
     """
+    if not heavy.axes:
+        return table.withColumn(_CELL, _null_cell(table, key, axis, heavy, F.lit(0)))
     slabs = {value: _slab(axes, axis) for value, axes in heavy.axes.items()}
     schema = T.StructType([
         T.StructField(key, table.schema[key].dataType), T.StructField("_splits", T.IntegerType()),
@@ -153,7 +159,7 @@ def _on_grid(table: DataFrame, key: str, axis: int, heavy: HeavyKeys) -> DataFra
         own = (F.when(F.col("_splits") > 1, salted(table, F.col("_splits")) * F.col("_stride"))
                .otherwise(0))
     if all(len(cells) == 1 for _, _, cells in slabs.values()):
-        cell = own
+        cell = _null_cell(table, key, axis, heavy, own)
     else:
         sized = sized.withColumn("_own", own)
         cell = F.explode(F.when(F.col("_slab").isNull(), F.array(F.lit(0))).otherwise(
@@ -161,6 +167,13 @@ def _on_grid(table: DataFrame, key: str, axis: int, heavy: HeavyKeys) -> DataFra
     return sized.withColumn(_CELL, cell).drop("_splits", "_stride", "_slab", "_own")
 
 
+def _null_cell(table: DataFrame, key: str, axis: int, heavy: HeavyKeys, cell: Column) -> Column:
+    """Any cell will do for a row without a key: it matches nothing."""
+    if axis or not heavy.nulls:
+        return cell
+    return F.when(quoted(key).isNull(), salted(table, F.lit(MAX_AXIS))).otherwise(cell)
+
+
 def _needs_audit(table: DataFrame) -> bool:
     size = plan_bytes(table)
     return size is None or size > HEAVY_FLOOR_BYTES
@@ -194,7 +207,9 @@ def lookup_heavy_keys(facts: DataFrame, lookup: DataFrame, key: str) -> HeavyKey
     size = plan_bytes(lookup)
     if size is not None and size <= limit:
         return HeavyKeys({})
-    return heavy_keys([facts, lookup], key, audit=[_needs_audit(facts), False])
+    large = _needs_audit(facts)
+    found = heavy_keys([facts, lookup], key, audit=[large, False])
+    return replace(found, nulls=large and facts.schema[key].nullable)
 
 
 def attach_lookup(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left",
@@ -202,7 +217,7 @@ def attach_lookup(facts: DataFrame, lookup: DataFrame, key: str, how: str = "lef
     """Join a table with one row per key onto a large one.
 
     Catalyst broadcasts the lookup when it is small.  A larger one is shuffled;
-    then the rows of heavy keys are spread out first.
+    then the rows of heavy keys, and those without a key, are spread out first.
     """
     if heavy is None:
         heavy = lookup_heavy_keys(facts, lookup, key)

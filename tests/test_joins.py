@@ -29,8 +29,9 @@ def test_repeated_keys_multiply_and_null_keys_drop_out(four):
 
 def test_order_does_not_matter(four):
     want = bag(joins.join_on_key(four, "k"))
+    plain = joins.HeavyKeys({})
     for order in list(itertools.permutations(four))[5::6]:
-        assert bag(joins.join_on_key(order, "k")) == want
+        assert bag(joins.join_on_key(order, "k", heavy=plain)) == want
 
 
 def test_shared_names_are_refused(spark, four):
@@ -98,6 +99,19 @@ def test_lookup_beyond_the_broadcast_limit(spark, skewed, monkeypatch):
     assert bag(chain) == bag(skewed[0].join(skewed[1], "k").join(skewed[2], "k"))
 
 
+def test_rows_without_a_key_are_spread(spark):
+    facts = spark.range(900).selectExpr("IF(id % 3 = 0, NULL, id) AS k", "id AS x")
+    lookup = spark.range(900).selectExpr("id AS k", "id * 2 AS z")
+    nulls = joins.HeavyKeys({}, nulls=True)
+    got = joins.attach_lookup(facts, lookup, "k", heavy=nulls)
+    key = lambda df: Counter(map(str, bag(df).elements()))
+    assert key(got) == key(facts.join(lookup, "k", "left"))
+    cells = joins._on_grid(facts, "k", 0, nulls).where("k IS NULL").select("_cell").distinct()
+    assert cells.count() > joins.MAX_AXIS / 2
+    both = joins.HeavyKeys({7: (4, 1)}, nulls=True)
+    assert key(joins.attach_lookup(facts, lookup, "k", heavy=both)) == key(got)
+
+
 def test_maps_do_not_stand_in_the_way(spark):
     facts = spark.range(60).selectExpr("IF(id % 2 = 0, 7, id) AS k", "map('a', id) AS m",
                                        "array(named_struct('x', map(1, id))) AS nested")
