@@ -18,10 +18,18 @@ def trim_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
+def resolve_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """The columns meant by ``names``, whatever their case and the blanks around them.
+
+    A name that fits no column is returned as it is.
+    """
+    have = {c.strip().lower(): c for c in reversed(df.columns)}
+    return [n if n in df.columns else have.get(n.strip().lower(), n) for n in names]
+
+
 def absent_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
-    """The names that ``df`` lacks.  Case is ignored, as Spark does."""
-    have = {c.lower() for c in df.columns}
-    return [n for n in names if n.lower() not in have]
+    """The names that ``df`` has no column for."""
+    return [n for n, c in zip(names, resolve_columns(df, names)) if c not in df.columns]
 
 
 def drop_columns(df: DataFrame, names: Sequence[str], strict: bool = True) -> DataFrame:
@@ -29,7 +37,7 @@ def drop_columns(df: DataFrame, names: Sequence[str], strict: bool = True) -> Da
     missing = absent_columns(df, names)
     if strict and missing:
         raise ValueError(f"no such columns: {', '.join(missing)}")
-    return df.drop(*names)
+    return df.drop(*resolve_columns(df, names))
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str], strict: bool = True) -> DataFrame:
@@ -37,7 +45,7 @@ def rename_columns(df: DataFrame, names: Mapping[str, str], strict: bool = True)
     missing = absent_columns(df, list(names))
     if strict and missing:
         raise ValueError(f"no such columns: {', '.join(missing)}")
-    return df.withColumnsRenamed(dict(names))
+    return df.withColumnsRenamed(dict(zip(resolve_columns(df, list(names)), names.values())))
 
 
 def column_roles(schema: T.StructType, label: str | None = None) -> list[tuple[str, str, str]]:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.columns import conversion_label, quoted
+from sluice.operators.clean import resolve_columns
 from sluice.operators.joins import attach_lookup, lookup_heavy_keys
 from sluice.sources.scratch import materialise
 
@@ -107,6 +108,7 @@ def fit_target_encoding(train: DataFrame, columns: Sequence[str], label: str,
     Fit on the training rows.  Fitting on all rows before the split is possible
     but hands the labels of the held-out rows to the model.
     """
+    columns = resolve_columns(train, columns)
     prior = train.agg(F.avg(quoted(label))).first()[0]
     stats = category_stats(train, columns, label).select(
         "column", "category", "n",

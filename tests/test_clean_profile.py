@@ -47,6 +47,14 @@ def test_absent_names_raise_or_are_reported(dups):
     assert clean.absent_columns(dups, ["A", "nope"]) == ["nope"]
 
 
+def test_blanks_around_a_name_do_not_matter(spark):
+    df = spark.createDataFrame([("a", 1)], "`Lead_Source ` string, n int")
+    assert clean.resolve_columns(df, ["Lead_Source", "lead_source ", "N", "zz"]) == [
+        "Lead_Source ", "Lead_Source ", "n", "zz"]
+    assert clean.drop_columns(df, ["Lead_Source"]).columns == ["n"]
+    assert clean.rename_columns(clean.trim_names(df), {"Lead_Source ": "s"}).columns == ["s", "n"]
+
+
 def test_dates_are_not_numbers(spark):
     df = spark.sql("SELECT 1 AS n, 'a' AS c, DATE'2020-01-01' AS d, true AS t, "
                    "array(1) AS other, 'Converted' AS y")

@@ -81,6 +81,11 @@ def test_target_means_save_load_and_parameters(spark, cats, tmp_path):
     assert key(other.transform(cats)) != key(encoding.transform(cats))
 
 
+def test_names_with_blanks_are_found(spark, cats):
+    out = encode.fit_target_encoding(cats, ["Lead_Source "], "y").transform(cats)
+    assert dict(out.dtypes)["Lead_Source"] == "double"
+
+
 def test_encoding_keeps_rows_columns_and_their_order(spark, cats):
     wide = cats.withColumn("City", F.lit("x")).withColumn("n", F.lit(1))
     out = encode.fit_target_encoding(wide, ["City", "Lead_Source"], "y").transform(wide)
