@@ -89,7 +89,7 @@ def _category_key(category: Column) -> Column:
 
 
 def category_stats(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
-    """Rows and label mean per category, for all columns in one scan.
+    """Labelled rows and label sum per category, for all columns in one scan.
 
     Rows are unpivoted and reduced per task before the shuffle, so a category
     that holds a third of the rows sends one record per task.
@@ -98,7 +98,7 @@ def category_stats(df: DataFrame, columns: Sequence[str], label: str) -> DataFra
                       for c in columns])
     return (df.select(quoted(label).alias("_y"), F.explode(pairs).alias("p"))
             .groupBy("p.column", "p.category")
-            .agg(F.count("_y").alias("n"), F.avg("_y").alias("mean")))
+            .agg(F.count("_y").alias("n"), F.sum("_y").alias("total")))
 
 
 def fit_target_encoding(train: DataFrame, columns: Sequence[str], label: str,
@@ -109,12 +109,14 @@ def fit_target_encoding(train: DataFrame, columns: Sequence[str], label: str,
     but hands the labels of the held-out rows to the model.
     """
     columns = resolve_columns(train, columns)
-    prior = train.agg(F.avg(quoted(label))).first()[0]
-    stats = category_stats(train, columns, label).select(
-        "column", "category", "n",
-        smoothed_mean(F.col("n"), F.col("mean"), F.lit(prior).cast("double"), k, f)
-        .alias("encoded"))
-    return TargetEncoding(materialise(stats, "target-means"), columns, prior)
+    counted = materialise(category_stats(train, columns, label), "target-means")
+    # The categories of any one column partition the rows, so they give the overall mean.
+    prior = (counted.where(F.col("column") == columns[0])
+             .agg(F.try_divide(F.sum("total"), F.sum("n").cast("double"))).first()[0])
+    mean = F.try_divide(F.col("total"), F.col("n").cast("double"))
+    stats = counted.select("column", "category", "n", smoothed_mean(
+        F.col("n"), mean, F.lit(prior).cast("double"), k, f).alias("encoded"))
+    return TargetEncoding(stats, columns, prior)
 
 
 # -- Spark ML stages --------------------------------------------------------

@@ -305,7 +305,8 @@ def rformula_encode(spark, folder):
     leads = standins.leads(spark, folder)
     train, validation, _ = _splits(leads)
     names = ["Profession", "Lead_Source", "Account_Balance", "Sale_Amount", "Conversion_Status"]
-    model = encode.formula_encoder("Conversion_Status").fit(train.select(*names))
+    with models.kept(train.select(*names)) as frame:
+        model = encode.formula_encoder("Conversion_Status").fit(frame)
     return (model.transform(validation)
             .select("Lead_ID", *_slots("enc_features", 10),
                     F.col("Conversion_Status_enc").alias("label")))
