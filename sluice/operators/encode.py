@@ -176,7 +176,3 @@ def vector_names(df: DataFrame, vector: str) -> list[str]:
 def class_names(df: DataFrame, label: str) -> list[str] | None:
     """Texts behind an indexed label, in index order."""
     return df.schema[label].metadata.get("ml_attr", {}).get("vals")
-
-
-def apply_stages(df: DataFrame, stages: Sequence[Transformer]) -> DataFrame:
-    return reduce(lambda d, s: s.transform(d), stages, df)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.functions import class_name, percent
 from sluice.operators import encode
 from sluice.operators.split import random_split, split
+from sluice.plans.funnel import CATEGORIES
 
 
 def test_label_values(spark):
@@ -86,6 +87,16 @@ def test_names_with_blanks_are_found(spark, cats):
     assert dict(out.dtypes)["Lead_Source"] == "double"
 
 
+def test_all_ten_categories_of_the_funnel(spark):
+    names = ["Lead_Source ", *CATEGORIES[1:]]
+    df = spark.range(60).select(
+        *[(F.col("id") % (i + 2)).cast("string").alias(c) for i, c in enumerate(names)],
+        (F.col("id") % 2).cast("double").alias("y"))
+    out = encode.fit_target_encoding(df, CATEGORIES, "y").transform(df)
+    assert out.columns == df.columns and out.count() == 60
+    assert {t for _, t in out.dtypes} == {"double"}
+
+
 def test_encoding_keeps_rows_columns_and_their_order(spark, cats):
     wide = cats.withColumn("City", F.lit("x")).withColumn("n", F.lit(1))
     out = encode.fit_target_encoding(wide, ["City", "Lead_Source"], "y").transform(wide)
