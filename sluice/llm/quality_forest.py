@@ -29,8 +29,8 @@ STEPS = 1000
 _SYMBOLS = b"#*$%&|<>"
 _DROP = bytes(range(0x09, 0x0E)) + b" "
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-FEATURES = ("symbols_per_char", "marks_per_word", "capitals_per_char", "digits_per_char",
-            "chars_per_word", "dup_lines", "repeat_words", "bars_per_word")
+FEATURES = ("symbols_per_char", "capitals_per_char", "chars_per_word", "dup_lines", "repeat_words",
+            "bars_per_word")
 
 
 def rule_statistics(text: str | None) -> tuple[tuple[int, ...], list[float]]:
@@ -55,13 +55,11 @@ def rule_statistics(text: str | None) -> tuple[tuple[int, ...], list[float]]:
             if windows[w] > 1:
                 repeated += i + 3 - max(i, reach)
                 reach = i + 3
-    marks = len(raw) - len(raw.translate(None, b"!?;:=_~^{}[]()"))
     capitals = len(solid) - len(solid.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    digits = len(solid) - len(solid.translate(None, b"0123456789"))
     bars = raw.count(b"|")
     per_word, per_char = 1 / max(n, 1), 1 / max(chars, 1)
-    features = [symbols * per_char, marks * per_word, capitals * per_char, digits * per_char,
-                chars * per_word, dup / max(lines, 1), repeated * per_word, bars * per_word]
+    features = [symbols * per_char, capitals * per_char, chars * per_word, dup / max(lines, 1),
+                repeated * per_word, bars * per_word]
     return (n, chars, symbols, dup, repeated), features
 
 
@@ -85,10 +83,17 @@ def _expected(n: int) -> float:
 
 
 class Forest:
-    """Random splits; rows that are soon alone are anomalous."""
+    """Random splits; rows that are soon alone are anomalous.
 
-    def __init__(self, rows: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = 7):
+    Splits are drawn a little beyond the range of the rows in a node, by
+    ``margin`` per feature.  A value that no row has, of a feature that hardly
+    varies among them, is thereby soon alone; rows within the range are not.
+    """
+
+    def __init__(self, rows: np.ndarray, margin: np.ndarray | None = None, trees: int = TREES,
+                 sample: int = SAMPLE, seed: int = 7):
         rng = np.random.default_rng(seed)
+        self.margin = np.zeros(rows.shape[1]) if margin is None else margin
         self.sample = min(sample, len(rows))
         self.trees = [self._grow(rows[rng.choice(len(rows), self.sample, replace=False)], rng)
                       for _ in range(trees)] if len(rows) else []
@@ -102,9 +107,11 @@ class Forest:
             me = len(nodes)
             if parent >= 0:
                 nodes[parent][2 + side] = me
-            low, high = part.min(axis=0), part.max(axis=0)
+            alone = len(part) <= 1
+            low, high = (part[:1].sum(axis=0),) * 2 if alone else (part.min(axis=0) - self.margin,
+                                                                   part.max(axis=0) + self.margin)
             able = np.flatnonzero(high > low)
-            if depth >= limit or len(part) <= 1 or not len(able):
+            if depth >= limit or alone or not len(able):
                 nodes.append([-1, 0.0, me, me, depth + _expected(len(part))])
                 continue
             f = rng.choice(able)
@@ -147,8 +154,9 @@ def with_score(stats: DataFrame, forest: Forest) -> DataFrame:
 
 
 def best_threshold(scored: DataFrame, tolerance: float = TOLERANCE) -> float:
-    """The lowest cut-off that rejects at most ``tolerance`` of the labelled good rows.
+    """The cut-off that catches most bad rows and at most ``tolerance`` of the good ones.
 
+    Of several it is the middle one.
     ``scored`` has ``score`` and ``quality`` of all labelled rows; they are
     counted per step, so the driver sees at most ``STEPS`` rows.  Without
     labelled rows of both kinds nothing is cut off.
@@ -159,13 +167,15 @@ def best_threshold(scored: DataFrame, tolerance: float = TOLERANCE) -> float:
     good, bad = sum(r.good for r in rows), sum(r.bad for r in rows)
     if not good or not bad:
         return math.inf
-    best, lost = math.inf, 0
+    best, least, lost = math.inf, math.inf, 0
     for r in sorted(rows, key=lambda r: -r.step):
         lost += r.good
         if lost > tolerance * good:
             break
-        best = r.step / STEPS
-    return best
+        least = r.step / STEPS
+        if r.bad:
+            best = least
+    return (best + least) / 2
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -173,8 +183,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """Per row: ``id``, the five counts, ``base_failed``, ``score`` and ``kept``.
 
     The base rule rejects below 50 words or with more than half of them in
-    repeated 3-word windows.  The forest is grown from at most ``POOL`` labelled
-    documents that pass it, chosen by a hash of their id; ``labels`` has ``doc_id``
+    repeated 3-word windows.  The forest is grown from the good ones of at most
+    ``POOL`` labelled documents that pass it, chosen by a hash of their id, with
+    the deviations of all of those as margins; ``labels`` has ``doc_id``
     and ``quality`` (1 good, 0 bad).  The threshold is set on all labelled
     documents.  Labels that are null, or contradict each other, count as bad only
     if all of the document's are.  A null text has no words and fails.  Repeated
@@ -196,8 +207,11 @@ def fit(stats: DataFrame, labels: DataFrame, tolerance: float = TOLERANCE) -> tu
     marks = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(
         F.col("doc_id").alias("id")).agg(F.max("quality").alias("quality"))
     known = stats.where("NOT base_failed").join(marks, "id")
-    pool = known.orderBy(F.xxhash64("id"), "id", "n_words", "word_chars").limit(POOL).select("x").collect()
-    forest = Forest(np.array([r.x for r in pool], dtype=float).reshape(-1, len(FEATURES)))
+    pool = known.orderBy(F.xxhash64("id"), "id", "n_words", "word_chars").limit(POOL).select(
+        "x", "quality").collect()
+    rows = np.array([r.x for r in pool], dtype=float).reshape(-1, len(FEATURES))
+    good = np.array([r.quality == 1 for r in pool], dtype=bool)
+    forest = Forest(rows[good], rows.std(axis=0) if len(rows) else None)
     return forest, best_threshold(with_score(known.select("x", "quality"), forest), tolerance)
 
 

@@ -1,0 +1,85 @@
+import re
+
+import pytest
+
+from sluice.llm import license_scan as L
+from sluice.llm.queries import QUERIES
+
+MIT = dict(L.TEMPLATES)["mit-text"]
+
+
+def brute(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    places, labels = [], set()
+    for phrase, label in L.PHRASES:
+        p = phrase.split()
+        for i in range(len(words)):
+            if words[i:i + len(p)] == p:
+                places.append(i)
+                labels.add(label)
+    return (len(words), len(places), min(places, default=None), max(places, default=None),
+            ",".join(sorted(labels)))
+
+
+TEXTS = [None, "", "Under the MIT License", "x under-the.mit license under THE mit license!",
+         "Apache License, Version 2.0; cc by nc cc by nc", "under the mit", "É under the mit license é",
+         "under the mit licenses", "cc by nc by nc", "Licensed under CC BY-NC 4.0.",
+         "released under the terms of the MIT License"]
+
+
+def test_base_like_brute_force():
+    scanner = L.Scanner()
+    for t in TEXTS:
+        assert scanner.scan(t)[:5] == brute(t), t
+
+
+def plain(template, fill="some words"):
+    """A text that the template accepts: first choices, options written out."""
+    t = re.sub(r"\{\d+\}", fill, template)
+    t = re.sub(r"\(([^|()]*)\|[^()]*\)", r"\1", t)
+    t = re.sub(r"\[\[(a)\|the\]\]", r"\1", t)
+    return " ".join(t.replace("[[", " ").replace("]]", " ").split())
+
+
+@pytest.mark.parametrize("label", [t[0] for t in L.TEMPLATES])
+def test_templates(label):
+    text = plain(dict(L.TEMPLATES)[label])
+    scanner = L.Scanner()
+    got = scanner.scan("Copyright 2020 me.\n" + text.upper().replace(" ", ", ") + "\nrest")
+    assert label in got[5].split(",")
+    assert 0 < got[6] < 1
+    # Any mandatory word changed or missing: not accepted.
+    words = text.split()
+    assert label not in scanner.scan(" ".join(words[:2] + ["changed"] + words[3:]))[5].split(",") or label.endswith("notice")
+    short = dict(L.TEMPLATES)[label]
+    while "[[" in short:
+        short = re.sub(r"\[\[[^\[\]]*\]\]", "", short)
+    assert label in scanner.scan(plain(short))[5].split(",")
+
+
+def test_automaton():
+    auto = L.compile_template("a [[b {2}]] (c|d e) f")
+    match = lambda s: auto.match(s.encode().split(), 0)
+    assert match("a c f") == 3 and match("a d e f") == 4 and match("a b c f") == 4
+    assert match("a b x y d e f") == 7 and match("a b x y z c f") is None
+    assert match("a d f") is None and match("a") is None and match("b c f") is None
+    with pytest.raises(ValueError):
+        L.compile_template("[[a]]")
+    with pytest.raises(ValueError):
+        L.compile_template("{3} a")
+
+
+def test_query(spark, small):
+    docs = {d.doc_id: d.text for d in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    rows = QUERIES["op4_license_scan"](spark, small).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert tuple(r)[1:6] == brute(docs[r.doc_id])
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def test_odd_rows(spark, docs_of):
+    df = docs_of([(None, None), (1, "cc by nc"), (1, "cc by nc")])
+    assert sorted((r.doc_id or 0, r.n_base) for r in L.license_scan(df).collect()) == [(0, 0), (1, 1), (1, 1)]
+    assert L.license_scan(df.where("false")).count() == 0
