@@ -20,7 +20,7 @@ MAX_REPEATED = 50  # percent of words
 #: The forest: trees, and documents each tree is grown from.
 TREES, SAMPLE = 100, 256
 #: Labelled documents the trees draw from, at most; all labelled ones set the threshold.
-POOL = 16_384
+POOL = 4096
 #: Share of labelled good documents that may be rejected.
 TOLERANCE = 0.002
 #: Steps in which thresholds are compared.
@@ -29,8 +29,7 @@ STEPS = 1000
 _SYMBOLS = b"#*$%&|<>"
 _DROP = bytes(range(0x09, 0x0E)) + b" "
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-FEATURES = ("symbols_per_char", "capitals_per_char", "chars_per_word", "dup_lines", "repeat_words",
-            "bars_per_word")
+FEATURES = ("symbols_per_char", "chars_per_word", "repeat_words", "bars_per_word")
 
 
 def rule_statistics(text: str | None) -> tuple[tuple[int, ...], list[float]]:
@@ -41,10 +40,9 @@ def rule_statistics(text: str | None) -> tuple[tuple[int, ...], list[float]]:
     solid = raw.translate(None, _DROP)
     chars = len(solid.decode())
     symbols = len(raw) - len(raw.translate(None, _SYMBOLS))
-    seen, dup, lines = set(), 0, 0
+    seen, dup = set(), 0
     for line in raw.split(b"\n"):
         if line.strip():
-            lines += 1
             dup += line in seen
             seen.add(line)
     windows = Counter(zip(words, words[1:], words[2:]))
@@ -55,11 +53,9 @@ def rule_statistics(text: str | None) -> tuple[tuple[int, ...], list[float]]:
             if windows[w] > 1:
                 repeated += i + 3 - max(i, reach)
                 reach = i + 3
-    capitals = len(solid) - len(solid.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
     bars = raw.count(b"|")
     per_word, per_char = 1 / max(n, 1), 1 / max(chars, 1)
-    features = [symbols * per_char, capitals * per_char, chars * per_word, dup / max(lines, 1),
-                repeated * per_word, bars * per_word]
+    features = [symbols * per_char, chars * per_word, repeated * per_word, bars * per_word]
     return (n, chars, symbols, dup, repeated), features
 
 
