@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from sluice.llm.common import quoted
 
-#: Pieces a task remembers before it starts anew; results do not depend on it.
+#: Pieces a worker remembers before it starts anew; results do not depend on it.
 REMEMBERED = 200_000
 #: Documents whose ids are handed on at a time.
 BATCH = 1000
@@ -102,6 +102,12 @@ class Encoder:
         return b"".join(out)
 
 
+@functools.lru_cache(maxsize=2)
+def _encoder(vocabulary: str, pattern: str) -> Encoder:
+    """One per worker process, so that its tasks share what is known."""
+    return Encoder(load_ranks(vocabulary), pattern)
+
+
 class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         tokens = [b""] * (max(ranks.values(), default=-1) + 1)
@@ -127,7 +133,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     row meets another, so nothing is shuffled.
     """
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(load_ranks(vocabulary), pattern)
+        encoder = _encoder(vocabulary, pattern)
         for pdf in pdfs:
             for a in range(0, len(pdf), BATCH):
                 part = pdf.iloc[a:a + BATCH]
