@@ -234,13 +234,14 @@ def _narrowed(tally: DataFrame, targets: DataFrame) -> DataFrame:
     steps = [k / NARROWING for k in range(1, NARROWING)]
     edges = (tally.where("v IS NOT NULL").groupBy("i", "j")
              .agg(F.percentile_approx("v", steps, ACCURACY).alias("edges")))
-    binned = tally.join(edges, ["i", "j"]).withColumn(
+    # A row per column and percentile, whatever the size of the table: hence the hints.
+    binned = tally.join(F.broadcast(edges), ["i", "j"]).withColumn(
         "bin", F.when(F.col("v").isNull(), -1).otherwise(
             F.size(F.filter("edges", lambda e: e < F.col("v"))))).drop("edges")
     sizes = binned.groupBy("i", "j", "bin").agg(F.sum("n").alias("n"))
     chosen = (sizes.withColumn("upto", F.sum("n").over(_upto("bin")))
               .join(targets, ["i", "j"]).where(F.col("upto") >= F.col("rank"))
               .groupBy("i", "j").agg(F.min("bin").alias("chosen")))
-    return (binned.join(chosen, ["i", "j"]).where("bin <= chosen")
+    return (binned.join(F.broadcast(chosen), ["i", "j"]).where("bin <= chosen")
             .withColumn("v", F.when(F.col("bin") == F.col("chosen"), F.col("v")))
             .groupBy("i", "j", "v").agg(F.sum("n").alias("n")))

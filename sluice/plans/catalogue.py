@@ -21,7 +21,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 THRESHOLDS = (0.1, 0.3, 0.5, 0.7, 0.9)
-COPIES = ("l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
 
 
 def query(build: Query) -> Query:
@@ -68,6 +67,12 @@ def _slots(vector: str, n: int, prefix: str = "x") -> list[Column]:
     return [values[i].alias(f"{prefix}{i}") for i in range(n)]
 
 
+def _doubled(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row twice, all columns: rows that are copies as a whole."""
+    rows = tables.read_parquet(spark, folder, "lineitem")
+    return rows.unionByName(rows)
+
+
 # -- sources, sinks, catalog --------------------------------------------------
 
 @query
@@ -90,8 +95,7 @@ def csv_scan_multiline(spark, folder):
 @query
 def table_scan(spark, folder):
     tables.read_parquet(spark, folder, "lineitem").createOrReplaceTempView("sluice_lineitem")
-    return (tables.read_table(spark, "sluice_lineitem")
-            .select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"))
+    return tables.read_table(spark, "sluice_lineitem")
 
 
 @query
@@ -229,14 +233,12 @@ def table_shape(spark, folder):
 
 @query
 def drop_duplicates(spark, folder):
-    return profile.drop_duplicates(
-        tables.read_parquet(spark, folder, "lineitem").select(*COPIES))
+    return profile.drop_duplicates(_doubled(spark, folder))
 
 
 @query
 def duplicate_audit(spark, folder):
-    return profile.duplicate_audit(
-        tables.read_parquet(spark, folder, "lineitem").select(*COPIES))
+    return profile.duplicate_audit(_doubled(spark, folder))
 
 
 @query
@@ -393,13 +395,13 @@ def rf_train_score(spark, folder):
 @query
 def gbt_train_score(spark, folder):
     leads = _labelled(spark, folder)
-    return _train_and_score(leads, models.boosted(leads, exclude=NOT_FEATURES, rounds=10))
+    return _train_and_score(leads, models.boosted(leads, exclude=NOT_FEATURES))
 
 
 @query
 def indexed_gbt_train_score(spark, folder):
     leads = _labelled(spark, folder)
-    return _train_and_score(leads, models.indexed_boosted(leads, exclude=NOT_FEATURES, rounds=5))
+    return _train_and_score(leads, models.indexed_boosted(leads, exclude=NOT_FEATURES))
 
 
 @query
@@ -452,7 +454,7 @@ def retrain_best(spark, folder):
     train, validation, _ = _splits(leads)
     recipe = models.logistic(leads, "Conversion_Status", IDS)
     best = tune.param_search(recipe, train, validation,
-                             tune.draw_trials(tune.LOGISTIC_SPACE, 5)).best
+                             tune.draw_trials(tune.LOGISTIC_SPACE)).best
     model = tune.retrain(recipe, best, train)
     scores = _rounded(evaluate.scorecard(model.score(_held_out(leads)),
                                          recipe.classifier_label, "split"))

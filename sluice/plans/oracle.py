@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sluice.plans.catalogue import COPIES, THRESHOLDS
+from sluice.plans.catalogue import THRESHOLDS
 
 PEOPLE = """
   people AS (
@@ -160,12 +160,11 @@ _TYPED = " UNION ALL ".join(
     f"SELECT {i}::INTEGER AS position, '{c}' AS \"column\", '{t}' AS dtype, '{r}' AS role, "
     f"count(\"{c}\") AS \"values\" FROM leads" for i, (c, t, r) in enumerate(_LEAD_TYPES))
 
-_COPY_LIST = ", ".join(COPIES)
 
 ORACLES: dict[str, str] = {
     "csv_scan_infer": "SELECT * FROM orders",
     "csv_scan_multiline": "SELECT * FROM documents",
-    "table_scan": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem",
+    "table_scan": "SELECT * FROM lineitem",
     "save_overwrite_roundtrip": "SELECT * FROM customer",
     "database_ddl": """SELECT o_orderpriority AS "Lead_Source", count(*) AS count
                        FROM orders GROUP BY 1""",
@@ -214,11 +213,11 @@ SELECT (SELECT count(*) FROM keys) AS distinct_keys,
        (SELECT max(n) FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey))
          AS max_rows_per_key_2""",
     "table_shape": "SELECT count(*) AS rows, 11::INTEGER AS columns FROM lineitem",
-    "drop_duplicates": f"SELECT DISTINCT {_COPY_LIST} FROM lineitem",
-    "duplicate_audit": f"""
-SELECT (SELECT count(*) FROM lineitem) AS rows, count(*) AS distinct_rows,
-       (SELECT count(*) FROM lineitem) - count(*) AS duplicate_rows
-FROM (SELECT DISTINCT {_COPY_LIST} FROM lineitem)""",
+    "drop_duplicates": "SELECT DISTINCT * FROM lineitem",
+    "duplicate_audit": """
+SELECT 2 * (SELECT count(*) FROM lineitem) AS rows, count(*) AS distinct_rows,
+       2 * (SELECT count(*) FROM lineitem) - count(*) AS duplicate_rows
+FROM (SELECT DISTINCT * FROM lineitem)""",
     "group_count": f"WITH {SCORED} SELECT prediction, count(*) AS count FROM scored GROUP BY 1",
     "funnel_effectiveness": f"""
 WITH {SCORED}
