@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 from sluice.llm.common import materialise, quoted
 
 #: Bytes of text, and texts, that are aligned at a time; a longer text goes alone.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 BATCH_DOCS = 1 << 15
 #: Id pairs are dealt into so many buckets, by their number alone.
 BUCKETS = 256
 #: Distinct pairs and entries that one task looks up.
 TASK_PAIRS = 500_000
-TASK_ENTRIES = 2_000_000
+TASK_ENTRIES = 1_000_000
 
 PARTS = ("kind string, doc_id long, batch long, place int, n_a long, n_b long, n_groups long, "
          "n_links long, groups_sha256 string, bucket int, pairs array<long>, runs array<int>, "
