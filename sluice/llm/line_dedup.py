@@ -6,13 +6,14 @@ DataFrame operations only.
 from __future__ import annotations
 
 import itertools
+import math
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import fresh_path, materialise, parts_for, quoted, text_bytes
+from sluice.llm.common import free_name, fresh_path, materialise, parts_for, quoted, text_bytes
 from sluice.llm.components import components
 
 BITS = 64
@@ -22,16 +23,13 @@ DISTANCE = 3
 BLOCKS = 5
 #: Least edit similarity: 1 - edits / words of the longer line.
 SIMILARITY = 0.8
-#: Lines of one SimHash that are compared pair by pair.
-PAIR_CLASS = 64
 #: Words whose bits are counted in lanes of 8 bits before they go into wider ones.
 SHORT = 127
-#: Lines of a larger class that all its lines are compared with in one round.
-LEADERS = 64
 #: Bytes of text per bucket of the working table.
 BUCKET_BYTES = 8 << 20
-#: Characters that stand for words in the edit distance: a stretch of one block of code points.
-_FIRST_SYMBOL, _SYMBOLS = 0x4E00, 20_480
+#: Code points that stand for words in the edit distance, all planes above the first: two
+#: different words are taken for equal with odds of one in 983,040.
+_FIRST_SYMBOL, _SYMBOLS = 0x10000, 0xF0000
 
 
 def normalised(line: Column) -> Column:
@@ -73,9 +71,21 @@ def _line_sums(words: Column) -> Column:
         for j in range(32)]))
 
 
-def line_hashes(texts: DataFrame) -> DataFrame:
+def least_words(similarity: float) -> int:
+    """Words of the shortest line that another can be similar to without being equal.
+
+    One edit needs a longer line of 1 / (1 - similarity) words, and the shorter
+    one has at least that share of them.
+    """
+    return math.ceil(similarity / (1 - similarity) - 1e-9) if similarity < 1 else 1 << 31
+
+
+def line_hashes(texts: DataFrame, least: int) -> DataFrame:
     """``id, rid, pos, key, fp``: a digest of the normalised line and the SimHash of its words.
 
+    Lines of fewer than ``least`` words are similar to none but their equals and
+    get no SimHash.
+
     Lines are normalised inside the array, so that it is done once for each.
     The words of a line are counted where they stand, as one array: no row per
     word, no grouping and no shuffle.
@@ -85,8 +95,8 @@ def line_hashes(texts: DataFrame) -> DataFrame:
     words = lines.select("id", "rid", "pos", F.unhex(F.md5("norm")).alias("key"),
                          F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("words"))
     sums = words.select("id", "rid", "pos", "key", F.size("words").alias("n"),
-                        _line_sums(F.col("words")).alias("sums"))
-    return sums.select("id", "rid", "pos", "key", _simhash().alias("fp"))
+                        F.when(F.size("words") >= least, _line_sums(F.col("words"))).alias("sums"))
+    return sums.select("id", "rid", "pos", "key", F.when(F.col("n") >= least, _simhash()).alias("fp"))
 
 
 def block_keys(fp: Column, blocks: int = BLOCKS, distance: int = DISTANCE) -> Column:
@@ -101,77 +111,97 @@ def block_keys(fp: Column, blocks: int = BLOCKS, distance: int = DISTANCE) -> Co
     return F.array(*keys)
 
 
-def candidate_pairs(marks: DataFrame, blocks: int = BLOCKS, distance: int = DISTANCE) -> DataFrame:
-    """Pairs ``a < b`` of distinct SimHashes at most ``distance`` bits apart."""
-    spread = marks.select("fp", F.explode(block_keys(F.col("fp"), blocks, distance)).alias("block"))
-    left = spread.select("block", F.col("fp").alias("a"))
-    right = spread.select("block", F.col("fp").alias("b"))
-    return (left.join(right, "block")
-            .where((F.col("a") < F.col("b"))
-                   & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance))
-            .select("a", "b").distinct())
+def _near(a: Column, b: Column, distance: int = DISTANCE) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= distance
+
+
+def _blocks_of(lines: DataFrame, *more: str, blocks: int = BLOCKS, distance: int = DISTANCE) -> DataFrame:
+    return lines.select("key", "fp", *more, F.explode(block_keys(F.col("fp"), blocks, distance)).alias("block"))
+
+
+def leader_pairs(spread: DataFrame, distance: int = DISTANCE) -> tuple[DataFrame, DataFrame]:
+    """``a, b``: each line with the smallest of its block, where they are near; and the blocks of several lines.
+
+    A row per line and block at most, however many lines a block has.
+    """
+    crowded = materialise(spread.groupBy("block").agg(
+        F.min(F.struct("fp", "key")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
+            "block", F.col("lead.fp").alias("lead_fp"), F.col("lead.key").alias("lead")), "crowded")
+    pairs = spread.join(crowded, "block").where((F.col("key") != F.col("lead")) & _near(
+        F.col("fp"), F.col("lead_fp"), distance)).select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct()
+    return pairs, crowded.select("block")
+
+
+def open_pairs(spread: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``a, b``: near lines of one block that belong to different groups so far.
+
+    ``spread`` has ``key, fp, root, block``.  Blocks of a single group are left
+    out before any two lines meet.
+    """
+    several = spread.groupBy("block").agg(F.min("root").alias("least"), F.max("root").alias("most")).where(
+        "least <> most").select("block")
+    some = materialise(spread.join(several, "block"), "open")
+    left = some.select("block", F.col("key").alias("a"), F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
+    right = some.select("block", F.col("key").alias("b"), F.col("fp").alias("fp_b"), F.col("root").alias("root_b"))
+    return left.join(right, "block").where((F.col("root_a") < F.col("root_b")) & _near(
+        F.col("fp_a"), F.col("fp_b"), distance)).select("a", "b").distinct()
 
 
 def _as_symbols(norm: Column) -> Column:
     """A line with one character per word, so that edits count words."""
-    each = F.transform(F.split(norm, " "), lambda w: F.hex(
-        F.pmod(F.xxhash64(w), F.lit(_SYMBOLS)) + _FIRST_SYMBOL))
-    return F.decode(F.unhex(F.array_join(each, "")), "UTF-16BE")
+    each = F.transform(F.split(norm, " "), lambda w: F.lpad(F.hex(
+        F.pmod(F.xxhash64(w), F.lit(_SYMBOLS)) + _FIRST_SYMBOL), 8, "0"))
+    return F.decode(F.unhex(F.array_join(each, "")), "UTF-32")
 
 
 def _similar(a: Column, b: Column, similarity: float) -> Column:
     longer = F.greatest(F.length(a), F.length(b))
     most = (longer * (1 - similarity) + 1e-9).cast("int")
-    return F.levenshtein(a, b) <= most
+    # With a bound, only cells within it of the diagonal are filled.
+    return F.call_function("levenshtein", a, b, most) >= 0
+
+
+def _lines_of(keys: DataFrame, texts: DataFrame) -> DataFrame:
+    """``key, line``: lines by key as strings of symbols, from a place where each stands."""
+    needed = keys.groupBy("rid").agg(F.collect_list(F.struct("pos", "key")).alias("needed"))
+    # Only lines that are compared are normalised again; "lines" is named twice, so it is split once.
+    return (texts.join(needed, "rid").select(F.split("text", "\n", -1).alias("lines"), "needed")
+            .select(F.explode(F.transform("needed", lambda x: F.struct(
+                x["key"].alias("key"),
+                F.when(x["pos"] < F.size("lines"), _as_symbols(normalised(F.col("lines")[x["pos"]])))
+                .alias("line")))).alias("x")).select("x.*"))
+
+
+def _links(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a, b`` whose lines are similar, as edges."""
+    one = lines.select(F.col("key").alias("a"), F.col("line").alias("line_a"))
+    two = lines.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
+    return pairs.join(one, "a").join(two, "b").where(_similar(F.col("line_a"), F.col("line_b"), similarity)).select(
+        F.hex("a").alias("u"), F.hex("b").alias("v"))
 
 
 def line_groups(keys: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``key, root`` of lines that are linked to another, from ``key, fp, rid, pos``.
 
-    One row per distinct line comes in, with a place where it stands.  Up to
-    ``PAIR_CLASS`` lines of equal SimHash are compared with each other.  Larger
-    classes are compared with up to ``LEADERS`` lines of their own; those that
-    none of these is similar to are taken up again among themselves until none
-    are left.  A leader without a smaller similar leader stands for its part
-    against other SimHashes.
+    One row per distinct line comes in, with a place where it stands.  In a
+    first pass each line is compared with one leader per block, the smallest;
+    that joins large groups of near copies with a row per line.  Then lines of
+    one block that are in different groups still are compared pair by pair, so
+    every near pair is compared unless its lines are connected already.
     """
-    marks = keys.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
-    pairs = materialise(candidate_pairs(marks), "pairs")
-    wanted = (pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp")))
-              .unionByName(marks.where("n > 1").select("fp")).distinct())
-    needed = (keys.join(wanted, "fp", "left_semi").groupBy("rid")
-              .agg(F.collect_list(F.struct("pos", "key", "fp")).alias("needed")))
-    # Only lines that are compared are normalised again; "lines" is named twice, so it is split once.
-    symbols = materialise(
-        texts.join(needed, "rid").select(F.split("text", "\n", -1).alias("lines"), "needed")
-        .select(F.explode(F.transform("needed", lambda x: F.struct(
-            x["key"].alias("key"), x["fp"].alias("fp"),
-            F.when(x["pos"] < F.size("lines"), _as_symbols(normalised(F.col("lines")[x["pos"]])))
-            .alias("line")))).alias("x")).select("x.*"), "symbols")
-    crowded = marks.where(F.col("n") > PAIR_CLASS).select("fp")
-    few = symbols.join(crowded, "fp", "left_anti")
-    within = few.select("fp", F.col("key").alias("key_a"), F.col("line").alias("line_a")).join(
-        few.select("fp", F.col("key").alias("key_b"), F.col("line").alias("line_b")), "fp")
-    edges = [within.where((F.col("key_a") < F.col("key_b")) & _similar(F.col("line_a"), F.col("line_b"), similarity))
-             .select(F.hex("key_a").alias("u"), F.hex("key_b").alias("v"))]
-    leaders, rest = [few.select("key", "fp", "line")], symbols.join(crowded, "fp", "left_semi")
-    while not rest.isEmpty():
-        slot = F.pmod(F.xxhash64("key"), F.lit(LEADERS)).alias("slot")
-        leads = (rest.groupBy("fp", slot).agg(F.min("key").alias("key"), F.min_by("line", "key").alias("line"))
-                 .groupBy("fp").agg(F.collect_list(F.struct("key", "line")).alias("leads")))
-        judged = materialise(rest.join(leads, "fp").select("key", "fp", "line", F.transform(
-            F.filter("leads", lambda x: _similar(F.col("line"), x["line"], similarity)),
-            lambda x: x["key"]).alias("near")), "judged")
-        edges.append(judged.select("key", F.explode("near").alias("lead")).where("key <> lead")
-                     .select(F.hex("key").alias("u"), F.hex("lead").alias("v")))
-        leaders.append(judged.where("key = array_min(near)").select("key", "fp", "line"))
-        rest = judged.where("size(near) = 0").select("key", "fp", "line")
-    lead = reduce(DataFrame.unionByName, leaders)
-    one = lead.select(F.col("fp").alias("a"), F.col("key").alias("key_a"), F.col("line").alias("line_a"))
-    two = lead.select(F.col("fp").alias("b"), F.col("key").alias("key_b"), F.col("line").alias("line_b"))
-    edges.append(pairs.join(one, "a").join(two, "b").where(_similar(F.col("line_a"), F.col("line_b"), similarity))
-                 .select(F.hex("key_a").alias("u"), F.hex("key_b").alias("v")))
-    tied = components(reduce(DataFrame.unionByName, edges))
+    marked = keys.where("fp IS NOT NULL")
+    spread = materialise(_blocks_of(marked.select("key", "fp")), "spread")
+    pairs, crowded = leader_pairs(spread)
+    pairs = materialise(pairs, "leaders")
+    wanted = materialise(spread.join(crowded, "block", "left_semi").select("key").distinct(), "wanted")
+    # Lines that share a block with another; few of them, as blocks are 25 bits or wider.
+    lines = materialise(_lines_of(marked.join(wanted, "key", "left_semi").select("key", "rid", "pos"), texts), "symbols")
+    edges = materialise(_links(pairs, lines, similarity), "links")
+    first = components(edges)
+    rooted = spread.join(crowded, "block", "left_semi").withColumn("node", F.hex("key")).join(
+        first, "node", "left").select("key", "fp", "block", F.coalesce("root", "node").alias("root"))
+    more = materialise(_links(open_pairs(rooted), lines, similarity), "links")
+    tied = components(edges.unionByName(more)) if not more.isEmpty() else first
     return tied.select(F.unhex("node").alias("key"), F.unhex("root").alias("root"))
 
 
@@ -186,18 +216,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     then by place in the document.  Lines without a letter or digit always stay.
     A null text stays null and has no lines; a document all of whose lines go is
     left with an empty text.  Repeated rows are documents of their own, so the
-    second one loses its lines.  An empty table gives no rows.
+    second one loses its lines.  An empty table gives no rows.  Where the table
+    has columns called ``n_lines`` or ``n_removed``, they stay, and the counts
+    get an underscore in front.
     """
     spark = docs.sparkSession
     buckets = parts_for(text_bytes(docs, text_col), BUCKET_BYTES)
     name = f"sluice_lines_{uuid.uuid4().hex}"
     others = [c for c in docs.columns if c != text_col]
+    n_lines, n_removed = (free_name(docs.columns, c) for c in ("n_lines", "n_removed"))
     (docs.select(F.monotonically_increasing_id().alias("rid"), quoted(id_col).alias("id"),
                  quoted(text_col).alias("text"), F.struct(*map(quoted, others)).alias("rest"))
      .repartition(buckets, "rid").write.bucketBy(buckets, "rid").option("compression", "zstd")
      .option("path", fresh_path(spark, "lines")).saveAsTable(name))
     texts = spark.table(name)
-    hashes = materialise(line_hashes(texts.select("id", "rid", "text")), "hashes")
+    hashes = materialise(line_hashes(texts.select("id", "rid", "text"), least_words(similarity)), "hashes")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "rid", "pos")
     keys = materialise(hashes.groupBy("key").agg(
         F.min("fp").alias("fp"), F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "keys")
@@ -221,5 +254,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .select(*[F.when(F.col("left").isNull(), F.col("text")).otherwise(F.array_join(
                 F.transform("left", lambda i: F.col("lines")[i]), "\n")).alias(c)
                 if c == text_col else F.col("rest")[c].alias(c) for c in docs.columns],
-                F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
-                F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed")))
+                F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias(n_lines),
+                F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias(n_removed)))

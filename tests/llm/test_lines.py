@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import regex
 from pyspark.sql import functions as F
 
@@ -93,10 +94,8 @@ def test_equal_simhash_of_other_lines(spark, docs_of):
     assert sorted((r.doc_id, r.n_removed) for r in rows) == [(1, 0), (2, 0), (3, 1), (4, 1)]
 
 
-def test_large_class_and_long_lines(spark, docs_of, monkeypatch):
+def test_large_class_and_long_lines(spark, docs_of):
     """One word outweighs all others, so unlike lines share a SimHash; each keeps its own group."""
-    monkeypatch.setattr(D, "PAIR_CLASS", 2)
-    monkeypatch.setattr(D, "LEADERS", 3)
     tails = [[chr(97 + i) + chr(97 + j) + "x" for j in range(9)] for i in range(12)]
     lines = [" ".join(["same"] * 12 + t) for t in tails]
     lines += [" ".join(["same"] * 12 + t[:-1] + ["other"]) for t in tails]
@@ -105,7 +104,7 @@ def test_large_class_and_long_lines(spark, docs_of, monkeypatch):
     lines.append(lines[-1].replace("va ", "vz ", 1))
     rows = sorted(D.line_dedup(docs_of(list(enumerate(lines)))).collect(), key=lambda r: r.doc_id)
     assert [r.text for r in rows] == brute(spark, list(enumerate(lines)))
-    assert [r.n_removed for r in rows] == [0] * 12 + [1] * 12 + [0, 1]
+    assert [r.n_removed for r in rows] == [0] * 12 + [1] * 12 + [0, 0, 1]
 
 
 def test_empty_table_and_plan(spark, docs_of):
@@ -113,3 +112,36 @@ def test_empty_table_and_plan(spark, docs_of):
     assert D.line_dedup(df).count() == 0
     plan = D.line_dedup(docs_of([(1, "x\nx")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow(Eval|Map)", plan)
+
+
+@pytest.mark.parametrize("n", [60, 120])
+def test_chain_of_one_simhash(spark, docs_of, n):
+    """Each line is an edit or two from the next and far from most; one SimHash for all."""
+    words = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}q" for i in range(n + 30)]
+    pairs = [(k, " ".join(["same"] * 24 + words[k:k + 20])) for k in random.Random(n).sample(range(n), n)]
+    rows = {r.doc_id: r.text for r in D.line_dedup(docs_of(pairs)).collect()}
+    assert [rows[i] for i, _ in pairs] == brute(spark, pairs)
+    assert sum(t != "" for t in rows.values()) == 1
+
+
+def test_leaders_bound_the_first_pass(spark):
+    """A block of many near lines gives a row per line, and none once they are one group."""
+    lines = spark.range(500).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("key"), F.lit(5).cast("long").alias("fp"))
+    spread = D._blocks_of(lines)
+    pairs, _ = D.leader_pairs(spread)
+    assert pairs.count() == 499
+    assert D.open_pairs(spread.withColumn("root", F.lit("r"))).count() == 0
+
+
+def test_short_lines_are_never_similar(spark, docs_of):
+    assert D.least_words(0.8) == 4
+    pairs = [(1, "red blue green"), (2, "red blue"), (3, "red blue green grey"), (4, "red blue green grey pink"), (5, "red blue!")]
+    rows = sorted(D.line_dedup(docs_of(pairs)).collect(), key=lambda r: r.doc_id)
+    assert [r.text for r in rows] == brute(spark, pairs)
+    assert rows[4].n_removed == 1
+
+
+def test_columns_named_like_the_counts(spark, docs_of):
+    df = docs_of([(1, "x"), (2, "x")]).withColumn("n_lines", F.lit(7))
+    rows = sorted(D.line_dedup(df).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_lines, r._n_lines, r.n_removed) for r in rows] == [(7, 1, 0), (7, 1, 1)]

@@ -29,5 +29,5 @@ def test_run_takes_effect(spark, small):
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     found = entry.queries()
-    assert "pipeline" in found and sum(n.startswith("op") for n in found) == 10
+    assert "pipeline" in found and sum(n.startswith("op") for n in found) == 13
     assert set(entry.oracle_sql()) <= set(found)
