@@ -1,8 +1,8 @@
 """Column expressions: labels, percentages, hash buckets."""
 
 from sluice.functions.columns import (
-    CONVERTED, NOT_CONVERTED, class_name, conversion_label, hash_bucket, percent, salted,
+    CONVERTED, NOT_CONVERTED, class_name, conversion_label, hash_bucket, percent,
 )
 
 __all__ = ["CONVERTED", "NOT_CONVERTED", "class_name", "conversion_label", "hash_bucket",
-           "percent", "salted"]
+           "percent"]

@@ -2,9 +2,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The two texts of the label.
 CONVERTED = "Converted"
@@ -48,21 +47,3 @@ def hash_bucket(keys: Sequence[Column], buckets: int, seed: str = "") -> Column:
     parts = [F.lit(seed), *[F.coalesce(k.cast("string"), F.lit("")) for k in keys]]
     head = F.substring(F.md5(F.concat_ws(":", *parts)), 1, 8)
     return F.pmod(F.conv(head, 16, 10).cast("bigint"), F.lit(buckets)).cast("int")
-
-
-def _hashable(kind: T.DataType) -> bool:
-    if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return all(_hashable(f.dataType) for f in kind.fields)
-    return not isinstance(kind, (T.MapType, T.VariantType))
-
-
-def salted(df: DataFrame, splits: Column) -> Column:
-    """A share in ``[0, splits)`` per row.
-
-    It depends on the row and its partition, never on a random draw, so a task
-    that is run again after a lost executor puts each row where it was.
-    """
-    hashable = [quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), splits).cast("int")

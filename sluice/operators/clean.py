@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.columns import quoted
-from sluice.operators.joins import attach_lookup, lookup_heavy_keys
+from sluice.operators.joins import attach_lookup, lookup_hot_keys
 
 
 def trim_names(df: DataFrame) -> DataFrame:
@@ -97,5 +97,5 @@ def keep_known(df: DataFrame, fitted: DataFrame, columns: Sequence[str]) -> Data
     for column in columns:
         known = fitted.select(quoted(column)).where(quoted(column).isNotNull()).distinct()
         out = attach_lookup(out, known, column, how="inner",
-                            heavy=lookup_heavy_keys(df.select(quoted(column)), known, column))
+                            hot=lookup_hot_keys(df.select(quoted(column)), known, column))
     return out.select(*[quoted(c) for c in df.columns])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.columns import conversion_label, quoted
 from sluice.operators.clean import resolve_columns
-from sluice.operators.joins import attach_lookup, lookup_heavy_keys
+from sluice.operators.joins import attach_lookup, lookup_hot_keys
 from sluice.sources.scratch import materialise
 
 #: A fitted index lives on the driver, so it is only built for columns with at
@@ -44,7 +44,7 @@ class TargetEncoding:
 
     ``stats`` has ``column``, ``category`` (null is a category of its own) and
     ``encoded``.  The table may be of any size: joining it is left to the size
-    check and the heavy-key handling of :func:`attach_lookup`.
+    check and the hot-key handling of :func:`attach_lookup`.
     """
 
     def __init__(self, stats: DataFrame, columns: Sequence[str], prior: float | None):
@@ -59,10 +59,10 @@ class TargetEncoding:
                       .select(_category_key(F.col("category")).alias(key),
                               F.col("encoded").alias(value)))
             # Searched in the input, not in what the joins so far have made of it.
-            heavy = lookup_heavy_keys(df.select(_category_key(quoted(column)).alias(key)),
+            hot = lookup_hot_keys(df.select(_category_key(quoted(column)).alias(key)),
                                       lookup, key)
             out = attach_lookup(out.withColumn(key, _category_key(quoted(column))), lookup, key,
-                                heavy=heavy).drop(key)
+                                hot=hot).drop(key)
         prior = F.lit(self.prior).cast("double")
         encoded = {c: F.coalesce(F.col(f"_enc{i}"), prior) for i, c in enumerate(self.columns)}
         return out.select(*[encoded[c].alias(c) if c in encoded else quoted(c)

@@ -1,56 +1,47 @@
 """Joins on a customer key, safe when one key holds a large share of the rows.
 
-Most joins here are left to Catalyst: small sides are broadcast on their
-estimated or observed size, large ones are sort-merged with one shuffle per
-table for the whole chain.  What Catalyst does not cover is a heavy key in a
-chain of joins over one shared shuffle, or in a plan whose skewed side is not
-itself a shuffle.  For those the rows of heavy keys are spread over a grid of
-cells: every table gets one axis, a row picks its own coordinate on its own
-axis and is copied along the axes of the other tables.  Each pair of matching
-rows meets in exactly one cell, so the result is the plain join's result.
+Small sides are left to Catalyst, which broadcasts them on their size.  Beyond
+that a key's rows all meet in one task, and a key that several tables repeat
+yields the product of its rows there.  So the rows per key are counted first,
+reduced per task before they are shuffled, and multiplied.  A key whose result
+is more than a task's share is hot: its rows are dealt over a grid with one axis
+per table, a row picks a coordinate on its own table's axis and is copied along
+the others.  Each pair of matching rows meets in exactly one cell, so the result
+is the plain join's result.
+
+Each axis is as long as that table's own rows of that key demand, and nothing
+else bounds it: a table with a handful of rows gets an axis of one, however many
+rows it is joined to, and is the one that is copied.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.columns import quoted, salted
-from sluice.sources.scratch import plan_bytes
+from sluice.functions.columns import quoted
+from sluice.sources.scratch import materialise, plan_bytes
 
-#: A key is heavy when it holds more than this share of a table's rows, so no
-#: table can have more than 1 / HEAVY_SHARE of them.
-HEAVY_SHARE = 0.01
-#: Tables below this size are not searched for heavy keys: any one key of
-#: theirs fits a single task.
-HEAVY_FLOOR_BYTES = 256 << 20
-#: Coordinates on one table's axis and cells of one key: how many tasks may share
-#: a key, not how many rows it may have.
-MAX_AXIS = 64
-MAX_CELLS = 1024
+#: Rows of the result that one key may have in one task.  It measures work per
+#: task and neither bounds a key nor changes a result.
+ROWS_PER_TASK = 1_000_000
 
-_CELL = "_cell"
+_CELL, _AXES, _KEY = "_cell", "_axes", "_hot"
 
 
 @dataclass(frozen=True)
-class HeavyKeys:
-    """Key value -> coordinates per table (1 where the key is not heavy).
+class HotKeys:
+    """Rows ``_hot, _axes``: a key and the length of each table's axis; None where no key is hot."""
 
-    ``nulls`` asks for rows without a key to be spread out as well.
-    """
-
-    axes: Mapping[object, tuple[int, ...]]
-    nulls: bool = False
+    grid: DataFrame | None = None
 
     def __bool__(self) -> bool:
-        return bool(self.axes) or self.nulls
+        return self.grid is not None
 
 
 def shared_names(tables: Sequence[DataFrame], keys: Sequence[str]) -> list[str]:
@@ -69,118 +60,82 @@ def shared_names(tables: Sequence[DataFrame], keys: Sequence[str]) -> list[str]:
     return clash
 
 
-def _rows_per_key(tables: Sequence[DataFrame], key: str, wanted: Sequence[Sequence]) -> DataFrame:
-    """Rows per candidate key and, under a null key, the rest of each table."""
-    parts = []
-    for i, (table, values) in enumerate(zip(tables, wanted)):
-        if not values:
-            continue
-        k = quoted(key)
-        parts.append(table.where(k.isNotNull())
-                     .select(F.when(k.isin(list(values)), k).alias("k"))
-                     .groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-                     .select(F.lit(i).alias("t"), "k", "n"))
-    return reduce(DataFrame.unionByName, parts)
+def rows_per_key(tables: Sequence[DataFrame], key: str, how: str = "inner") -> DataFrame:
+    """``_hot, n0, n1, ...``: how many rows each table has of a key, null keys left out.
 
+    Rows are counted per task before the shuffle, so a hot key sends one number.
+    """
+    counted = [t.where(quoted(key).isNotNull()).groupBy(quoted(key).alias(_KEY)).agg(F.count(F.lit(1)).alias(f"n{i}"))
+               for i, t in enumerate(tables)]
+    return reduce(lambda a, b: a.join(b, _KEY, how), counted)
 
-def heavy_keys(tables: Sequence[DataFrame], key: str, share: float = HEAVY_SHARE,
-               audit: Sequence[bool] | None = None, max_axis: int = MAX_AXIS) -> HeavyKeys:
-    """Find the keys that hold more than ``share`` of a table's rows.
 
-    One pass over the key column finds candidates (a heavy-hitters summary
-    that misses none and keeps at most ``1 / share`` per table), a second one
-    counts them exactly.  Neither shuffles the table.
+def grid_axes(rows: Sequence[Column], per_task: int) -> Column:
+    """Axis lengths for a key with so many rows per table.
+
+    The rows of a cell multiply to at most ``per_task``.  Tables are dealt with
+    from the smallest up: each may put the even share of what is left into a
+    cell, and one that has fewer rows than that leaves the rest to the others.
     """
-    audit = list(audit or [True] * len(tables))
-    searched = [i for i, on in enumerate(audit) if on]
-    if not searched:
-        return HeavyKeys({})
-    found = reduce(DataFrame.unionByName, [
-        tables[i].select(quoted(key).alias("k")).where("k IS NOT NULL")
-        .freqItems(["k"], share).select(F.lit(i).alias("t"), F.col("k_freqItems").alias("ks"))
-        for i in searched])
-    wanted: list[list] = [[] for _ in tables]
-    for row in found.collect():
-        wanted[row.t] = list(row.ks or [])
-    if not any(wanted):
-        return HeavyKeys({})
-    counts: list[dict] = [{} for _ in tables]
-    totals = [0] * len(tables)
-    for row in _rows_per_key(tables, key, wanted).collect():
-        totals[row.t] += row.n
-        if row.k is not None:
-            counts[row.t][row.k] = row.n
-    axes: dict[object, list[int]] = {}
-    for i in searched:
-        for value, n in counts[i].items():
-            if n > share * totals[i]:
-                axes.setdefault(value, [1] * len(tables))[i] = min(
-                    max_axis, max(2, math.ceil(n / (share * totals[i]))))
-    return HeavyKeys({v: _bounded(a) for v, a in axes.items()})
-
-
-def _bounded(axes: Sequence[int]) -> tuple[int, ...]:
-    """Halve the longest axes until the grid is small enough."""
-    axes = list(axes)
-    while math.prod(axes) > MAX_CELLS:
-        longest = axes.index(max(axes))
-        axes[longest] = max(1, axes[longest] // 2)
-    return tuple(axes)
-
-
-def _slab(axes: Sequence[int], axis: int) -> tuple[int, int, list[int]]:
-    """Coordinates on a table's own axis, cells from one to the next, and the
-    cells of coordinate 0: all combinations of the other tables' coordinates."""
-    strides = [math.prod(axes[:j]) for j in range(len(axes))]
-    others = [range(0, n * step, step) for j, (n, step) in enumerate(zip(axes, strides))
-              if j != axis]
-    return axes[axis], strides[axis], [sum(c) for c in itertools.product(*others)]
-
-
-def _on_grid(table: DataFrame, key: str, axis: int, heavy: HeavyKeys) -> DataFrame:
-    """Give each row its cells: cell 0 for ordinary keys, a slab for heavy ones.
-
-    Only rows of heavy keys are hashed, and rows are copied only where another
-    table has coordinates for the same key.
+    by_size = F.array_sort(F.array(*[F.struct(n.cast("double").alias("n"), F.lit(i).alias("i"))
+                                     for i, n in enumerate(rows)]))
+    start = F.struct(F.lit(float(per_task)).alias("room"), F.lit(len(rows)).alias("left"),
+                     F.array().cast("array<struct<i:int,axis:bigint>>").alias("axes"))
+
+    def place(acc: Column, x: Column) -> Column:
+        share = F.greatest(F.lit(1.0), F.floor(F.pow(acc["room"], F.lit(1.0) / acc["left"]) + 1e-9).cast("double"))
+        in_cell = F.least(F.greatest(x["n"], F.lit(1.0)), share)
+        axis = F.greatest(F.ceil(x["n"] / in_cell), F.lit(1))
+        return F.struct((acc["room"] / in_cell).alias("room"), (acc["left"] - 1).alias("left"),
+                        F.array_append(acc["axes"], F.struct(x["i"].alias("i"), axis.alias("axis"))).alias("axes"))
+
+    placed = F.aggregate(by_size, start, place, lambda acc: F.array_sort(acc["axes"]))
+    return F.transform(placed, lambda x: x["axis"])
+
+
+def hot_keys(tables: Sequence[DataFrame], key: str, per_task: int | None = None) -> HotKeys:
+    """Keys whose rows multiply to more than ``per_task``, with their grids.
+
+    There are fewer of them than the result has tasks' shares, so they are kept
+    as a table; Catalyst sees its size and broadcasts it while that is small.
     """
-    if not heavy.axes:
-        return table.withColumn(_CELL, _null_cell(table, key, axis, heavy, F.lit(0)))
-    slabs = {value: _slab(axes, axis) for value, axes in heavy.axes.items()}
-    schema = T.StructType([
-        T.StructField(key, table.schema[key].dataType), T.StructField("_splits", T.IntegerType()),
-        T.StructField("_stride", T.IntegerType()),
-        T.StructField("_slab", T.ArrayType(T.IntegerType()))])
-    # At most tables / share rows, see HEAVY_SHARE, of at most MAX_CELLS numbers; hence the hint.
-    grid = F.broadcast(table.sparkSession.createDataFrame(
-        [(value, *slab) for value, slab in slabs.items()], schema))
-    sized = table.join(grid, key, "left")
-    own = F.lit(0)
-    if any(splits > 1 for splits, _, _ in slabs.values()):
-        own = (F.when(F.col("_splits") > 1, salted(table, F.col("_splits")) * F.col("_stride"))
-               .otherwise(0))
-    if all(len(cells) == 1 for _, _, cells in slabs.values()):
-        cell = _null_cell(table, key, axis, heavy, own)
-    else:
-        sized = sized.withColumn("_own", own)
-        cell = F.explode(F.when(F.col("_slab").isNull(), F.array(F.lit(0))).otherwise(
-            F.transform("_slab", lambda c: c + F.col("_own"))))
-    return sized.withColumn(_CELL, cell).drop("_splits", "_stride", "_slab", "_own")
-
-
-def _null_cell(table: DataFrame, key: str, axis: int, heavy: HeavyKeys, cell: Column) -> Column:
-    """Any cell will do for a row without a key: it matches nothing."""
-    if axis or not heavy.nulls:
-        return cell
-    return F.when(quoted(key).isNull(), salted(table, F.lit(MAX_AXIS))).otherwise(cell)
-
-
-def _needs_audit(table: DataFrame) -> bool:
-    size = plan_bytes(table)
-    return size is None or size > HEAVY_FLOOR_BYTES
-
-
-def join_on_key(tables: Sequence[DataFrame], key: str,
-                heavy: HeavyKeys | None = None) -> DataFrame:
+    per_task = per_task or ROWS_PER_TASK
+    counts = rows_per_key(tables, key)
+    rows = [F.col(f"n{i}") for i in range(len(tables))]
+    return _kept(counts, rows, per_task)
+
+
+def _kept(counts: DataFrame, rows: Sequence[Column], per_task: int) -> HotKeys:
+    product = reduce(lambda a, b: a * b, [F.greatest(n, F.lit(1)).cast("double") for n in rows])
+    grid = materialise(counts.where(product > per_task).select(_KEY, grid_axes(rows, per_task).alias(_AXES)), "hot-keys")
+    return HotKeys(None if grid.isEmpty() else grid)
+
+
+def _without(table: DataFrame, key: str, hot: HotKeys) -> DataFrame:
+    """Rows of ordinary keys, and rows without a key."""
+    return table.join(hot.grid, quoted(key) == F.col(_KEY), "left_anti")
+
+
+def _on_grid(table: DataFrame, key: str, axis: int, hot: HotKeys) -> DataFrame:
+    """Rows of hot keys, one per cell that they belong to.
+
+    They are written first: their numbers are then the same whenever a task runs
+    again, and rows that are copies of each other still get different ones.
+    """
+    rows = materialise(table.join(hot.grid, quoted(key) == F.col(_KEY)).drop(_KEY), "hot-rows")
+    length = F.element_at(_AXES, axis + 1)
+    below = F.aggregate(F.slice(_AXES, 1, axis), F.lit(1).cast("long"), lambda a, x: a * x) if axis else F.lit(1)
+    cells = F.aggregate(_AXES, F.lit(1).cast("long"), lambda a, x: a * x)
+    numbered = rows.withColumns({"_own": F.pmod(F.monotonically_increasing_id(), length), "_below": below.cast("long"),
+                                 "_length": length, "_copies": (cells / length).cast("long")})
+    copied = numbered.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+    cell = (F.pmod("_o", "_below") + F.col("_own") * F.col("_below")
+            + F.floor(F.col("_o") / F.col("_below")) * F.col("_below") * F.col("_length"))
+    return copied.withColumn(_CELL, cell).drop(_AXES, "_own", "_below", "_length", "_copies", "_o")
+
+
+def join_on_key(tables: Sequence[DataFrame], key: str, hot: HotKeys | None = None,
+                per_task: int | None = None) -> DataFrame:
     """Inner-join all tables on ``key``, left to right; the key appears once.
 
     A row per combination of matching rows: null keys drop out, repeated keys
@@ -189,43 +144,51 @@ def join_on_key(tables: Sequence[DataFrame], key: str,
     clash = shared_names(tables, [key])
     if clash:
         raise ValueError(f"columns present in several tables: {', '.join(clash)}")
-    if heavy is None:
-        heavy = heavy_keys(tables, key, audit=[_needs_audit(t) for t in tables])
-    if not heavy:
+    if hot is None:
+        hot = hot_keys(tables, key, per_task)
+    if not hot:
         return reduce(lambda a, b: a.join(b, key, "inner"), tables)
-    placed = [_on_grid(t.where(quoted(key).isNotNull()), key, i, heavy)
-              for i, t in enumerate(tables)]
-    joined = reduce(lambda a, b: a.join(b, [key, _CELL], "inner"), placed)
-    return joined.drop(_CELL)
+    plain = reduce(lambda a, b: a.join(b, key, "inner"), [_without(t, key, hot) for t in tables])
+    spread = reduce(lambda a, b: a.join(b, [key, _CELL], "inner"),
+                    [_on_grid(t, key, i, hot) for i, t in enumerate(tables)])
+    return plain.unionByName(spread.drop(_CELL))
 
 
-def lookup_heavy_keys(facts: DataFrame, lookup: DataFrame, key: str) -> HeavyKeys:
-    """Heavy keys of the facts where the lookup is too large to be broadcast."""
-    if facts.isStreaming:  # cannot be searched; its micro-batches are bounded instead
-        return HeavyKeys({})
+def lookup_hot_keys(facts: DataFrame, lookup: DataFrame, key: str, per_task: int | None = None) -> HotKeys:
+    """Hot keys of the facts where the lookup is too large to be broadcast.
+
+    A key that the lookup lacks is counted as well: its rows meet in one task too.
+    """
+    if facts.isStreaming:  # cannot be counted; its micro-batches are bounded instead
+        return HotKeys()
     limit = _as_bytes(facts.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     size = plan_bytes(lookup)
     if size is not None and size <= limit:
-        return HeavyKeys({})
-    large = _needs_audit(facts)
-    found = heavy_keys([facts, lookup], key, audit=[large, False])
-    return replace(found, nulls=large and facts.schema[key].nullable)
+        return HotKeys()
+    counts = rows_per_key([facts, lookup], key, "left")
+    return _kept(counts, [F.col("n0"), F.coalesce("n1", F.lit(1))], per_task or ROWS_PER_TASK)
 
 
 def attach_lookup(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left",
-                  heavy: HeavyKeys | None = None) -> DataFrame:
-    """Join a table with one row per key onto a large one.
+                  hot: HotKeys | None = None, per_task: int | None = None) -> DataFrame:
+    """Join a table with a few rows per key onto a large one, ``left`` or ``inner``.
 
     Catalyst broadcasts the lookup when it is small.  A larger one is shuffled;
-    then the rows of heavy keys, and those without a key, are spread out first.
+    then the rows of hot keys are spread out first, and rows without a key,
+    which match nothing, do not take part at all.
     """
-    if heavy is None:
-        heavy = lookup_heavy_keys(facts, lookup, key)
-    if not heavy:
+    if hot is None:
+        hot = lookup_hot_keys(facts, lookup, key, per_task)
+    if not hot:
         return facts.join(lookup, key, how)
-    joined = (_on_grid(facts, key, 0, heavy)
-              .join(_on_grid(lookup, key, 1, heavy), [key, _CELL], how))
-    return joined.drop(_CELL)
+    keyed = facts.where(quoted(key).isNotNull())
+    plain = _without(keyed, key, hot).join(lookup, key, how)
+    spread = _on_grid(keyed, key, 0, hot).join(_on_grid(lookup, key, 1, hot), [key, _CELL], how).drop(_CELL)
+    out = plain.unionByName(spread)
+    if how == "left" and facts.schema[key].nullable:
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema.fields if f.name != key]
+        out = out.unionByName(facts.where(quoted(key).isNull()).select("*", *empty))
+    return out
 
 
 def _as_bytes(text: str) -> int:

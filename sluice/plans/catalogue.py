@@ -205,22 +205,44 @@ def funnel_join_chain(spark, folder):
 
 @query
 def funnel_join_heavy_keys(spark, folder):
-    """The chain with every key above a tenth of a percent of the sales spread out.
+    """The chain with every customer of more than ten rows in the result spread out."""
+    return _rounded(joins.join_on_key(_four_tables(spark, folder), "Customer_ID", per_task=10))
 
-    The sales are searched before they are cleaned: that is a scan of one column.
-    """
-    *others, _ = four = _four_tables(spark, folder)
-    heavy = joins.heavy_keys([*others, standins.sales(spark, folder)], "Customer_ID",
-                             share=0.001, audit=[False, False, False, True])
-    return _rounded(joins.join_on_key(four, "Customer_ID", heavy=heavy))
+
+def _touches(spark, folder):
+    """Single marketing touches, as they come in."""
+    return tables.read_parquet(spark, folder, "events").select(
+        F.col("user_id").alias("Customer_ID"), F.col("event_type").alias("Touch"))
+
+
+@query
+def funnel_join_touches(spark, folder):
+    """Customers, where they live, every touch and every sale: a row per combination."""
+    return joins.join_on_key([standins.crm(spark, folder), standins.external(spark, folder),
+                              _touches(spark, folder), standins.sales(spark, folder)], "Customer_ID")
+
+
+@query
+def funnel_join_touches_spread(spark, folder):
+    """The same with customers spread over grids of some 100 rows a cell."""
+    return joins.join_on_key([standins.crm(spark, folder), standins.external(spark, folder),
+                              _touches(spark, folder), standins.sales(spark, folder)], "Customer_ID", per_task=100)
+
+
+@query
+def hot_key_grids(spark, folder):
+    """Which customers' touches and sales are more than 100 pairs, and how they are dealt out."""
+    hot = joins.hot_keys([_touches(spark, folder), standins.sales(spark, folder)], "Customer_ID", per_task=100)
+    if not hot:
+        return spark.createDataFrame([], "Customer_ID long, touch_axis long, sale_axis long")
+    return hot.grid.select(F.col("_hot").alias("Customer_ID"), F.col("_axes")[0].alias("touch_axis"),
+                           F.col("_axes")[1].alias("sale_axis"))
 
 
 @query
 def join_size(spark, folder):
     """What joining customers, single touches and sales would yield, without the join."""
-    touches = tables.read_parquet(spark, folder, "events").select(
-        F.col("user_id").alias("Customer_ID"), "event_type")
-    return joins.join_size([standins.crm(spark, folder), touches,
+    return joins.join_size([standins.crm(spark, folder), _touches(spark, folder),
                             standins.sales(spark, folder)], "Customer_ID")
 
 

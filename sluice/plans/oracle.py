@@ -96,6 +96,23 @@ SELECT "Customer_ID", "Profession", "Account_Balance", "City", "Location", "Touc
        "Conversion_Status"
 FROM people JOIN marketing USING ("Customer_ID") JOIN unique_sales USING ("Customer_ID")"""
 
+TOUCHES = f"""
+WITH {PEOPLE}, {SALES}
+SELECT "Customer_ID", "Profession", "Account_Balance", "City", "Location", event_type AS "Touch",
+       "Order_ID", "Sale_Amount", "Lead_Source", "Start_Date", "Conversion_Status"
+FROM people JOIN events ON user_id = "Customer_ID" JOIN sales USING ("Customer_ID")"""
+
+#: The smaller side fills a cell with what it has, up to ten rows; the other gets the rest of 100.
+GRIDS = """
+WITH counts AS (
+  SELECT user_id AS k, t, s, least(t, s, 10) AS few
+  FROM (SELECT user_id, count(*) AS t FROM events GROUP BY user_id)
+  JOIN (SELECT o_custkey, count(*) AS s FROM orders GROUP BY o_custkey) ON user_id = o_custkey)
+SELECT k AS "Customer_ID",
+       ceil(t / CASE WHEN t <= s THEN few ELSE least(t, floor(100 / few)) END)::BIGINT AS touch_axis,
+       ceil(s / CASE WHEN t <= s THEN least(s, floor(100 / few)) ELSE few END)::BIGINT AS sale_axis
+FROM counts WHERE t * s > 100"""
+
 _ENCODED = ("Lead_Source", "Profession", "City", "Location")
 
 
@@ -195,6 +212,9 @@ WHERE bucket >= 800 AND "Start_Day" IN (SELECT "Start_Day" FROM complete WHERE b
     "funnel_join_pair": f"WITH {PEOPLE} SELECT * FROM people",
     "funnel_join_chain": CHAIN,
     "funnel_join_heavy_keys": CHAIN,
+    "funnel_join_touches": TOUCHES,
+    "funnel_join_touches_spread": TOUCHES,
+    "hot_key_grids": GRIDS,
     "join_size": """
 WITH joined AS (
   SELECT c_custkey AS k FROM customer JOIN events ON user_id = c_custkey

@@ -2,6 +2,7 @@ import itertools
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.operators import joins
 
@@ -29,9 +30,9 @@ def test_repeated_keys_multiply_and_null_keys_drop_out(four):
 
 def test_order_does_not_matter(four):
     want = bag(joins.join_on_key(four, "k"))
-    plain = joins.HeavyKeys({})
     for order in list(itertools.permutations(four))[5::6]:
-        assert bag(joins.join_on_key(order, "k", heavy=plain)) == want
+        assert bag(joins.join_on_key(order, "k", hot=joins.HotKeys())) == want
+        assert bag(joins.join_on_key(order, "k", per_task=2)) == want
 
 
 def test_shared_names_are_refused(spark, four):
@@ -48,76 +49,87 @@ def skewed(spark):
     return left.repartition(5), right.repartition(3), third
 
 
-def test_heavy_keys_are_found(skewed):
-    heavy = joins.heavy_keys(skewed, "k", share=0.1)
-    assert set(heavy.axes) == {7}
-    assert heavy.axes[7][0] > 1 and heavy.axes[7][1] > 1 and heavy.axes[7][2] == 1
-    assert not joins.heavy_keys(skewed[2:], "k", share=0.1)
-    assert not joins.heavy_keys(skewed, "k", audit=[False] * 3)
-    assert not joins.heavy_keys([skewed[0].limit(0)], "k")
-
-
-def test_spread_join_equals_plain_join(skewed):
-    heavy = joins.heavy_keys(skewed, "k", share=0.02)
-    spread = joins.join_on_key(skewed, "k", heavy=heavy)
-    assert bag(spread) == bag(joins.join_on_key(skewed, "k"))
-    assert "_cell" not in spread.columns
-
-
-def test_a_heavy_key_reaches_many_tasks(spark, skewed):
-    heavy = joins.heavy_keys(skewed, "k", share=0.02)
-    placed = joins._on_grid(skewed[0], "k", 0, heavy).where("k = 7")
-    own, other, _ = heavy.axes[7]
-    # Every row goes to one slab: its coordinate on its own axis, all of the other's.
-    assert placed.count() == 100 * other
-    assert placed.select("_cell").distinct().count() > own * other / 2
+def axes(hot):
+    return {r._hot: list(r._axes) for r in hot.grid.collect()}
+
+
+def test_hot_keys_are_those_of_many_pairs(spark, skewed):
+    hot = joins.hot_keys(skewed, "k", per_task=50)
+    assert set(axes(hot)) == {7}
+    a, b, c = axes(hot)[7]
+    assert (100 / a) * (30 / b) <= 60 and c == 1
+    assert not joins.hot_keys(skewed, "k", per_task=3000)
+    assert joins.hot_keys(skewed, "k", per_task=2999)
+    assert not joins.hot_keys([skewed[0].limit(0), skewed[1]], "k", per_task=1)
+
+
+def test_axes_follow_each_sides_own_rows(spark):
+    """Nine tenths of a large table under one key, and five rows of it on the other side."""
+    large = spark.range(20_000).selectExpr("IF(id % 10 < 9, 7, id) AS k", "id AS x")
+    small = spark.range(40).selectExpr("IF(id < 5, 7, 100000 + id) AS k", "id AS y")
+    hot = joins.hot_keys([small, large], "k", per_task=1000)
+    assert axes(hot) == {7: [1, 90]}  # 200 rows of the large table and all five in a cell
+    assert axes(joins.hot_keys([large, small], "k", per_task=1000)) == {7: [90, 1]}
+    got = joins.join_on_key([small, large], "k", hot=hot)
+    assert got.count() == 5 * 18_000
+    cells = joins._on_grid(large, "k", 1, hot).groupBy("_cell").count().agg(
+        F.count(F.lit(1)).alias("n"), F.max("count").alias("most")).first()
+    assert cells.n == 90 and cells.most <= 210
+
+
+def test_no_bound_on_the_grid(spark):
+    """Two large sides: as many cells as the product demands, each within its share."""
+    one = spark.range(3000).selectExpr("7 AS k", "id AS x")
+    two = spark.range(2000).selectExpr("7 AS k", "id AS y")
+    hot = joins.hot_keys([one, two], "k", per_task=900)
+    a, b = axes(hot)[7]
+    assert (a, b) == (100, 67)
+    joined = joins._on_grid(one, "k", 0, hot).join(joins._on_grid(two, "k", 1, hot), ["k", "_cell"])
+    sizes = joined.groupBy("_cell").count().agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("most"),
+                                                F.sum("count").alias("all")).first()
+    assert (sizes.n, sizes.all) == (a * b, 6_000_000) and sizes.most <= 1.2 * 900  # tasks number their rows on their own
+    assert joined.select("x", "y").distinct().count() == 6_000_000
+
+
+def test_copies_of_a_row_are_dealt_out_too(spark):
+    same = spark.range(1, numPartitions=1).selectExpr("7 AS k", "explode(array_repeat('a', 1000)) AS x")
+    other = spark.range(3).selectExpr("7 AS k", "id AS y")
+    hot = joins.hot_keys([same, other], "k", per_task=30)
+    sizes = joins._on_grid(same, "k", 0, hot).groupBy("_cell").count().collect()
+    assert len(sizes) == 100 and max(r["count"] for r in sizes) == 10
+    assert joins.join_on_key([same, other], "k", hot=hot).count() == 3000
+
+
+@pytest.mark.parametrize("per_task", [1, 7, 40, 500])
+def test_spread_join_equals_plain_join(skewed, per_task):
+    plain = skewed[0].join(skewed[1], "k").join(skewed[2], "k")
+    got = joins.join_on_key(skewed, "k", per_task=per_task)
+    assert bag(got) == bag(plain) and got.columns == plain.columns
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_with_heavy_keys(spark, skewed, how):
-    facts = skewed[0].unionByName(spark.createDataFrame([(None, 1), (-5, 2)], "k long, x long"))
-    lookup = skewed[2].where("k % 2 = 1")
-    heavy = joins.heavy_keys([facts, lookup], "k", share=0.02, audit=[True, False])
-    assert heavy
-    got = joins.attach_lookup(facts, lookup, "k", how, heavy=heavy)
-    key = lambda df: Counter(map(str, bag(df).elements()))
-    assert key(got) == key(facts.join(lookup, "k", how))
-
-
-def test_lookup_beyond_the_broadcast_limit(spark, skewed, monkeypatch):
-    monkeypatch.setattr(joins, "HEAVY_FLOOR_BYTES", 0)
-    monkeypatch.setattr(joins, "HEAVY_SHARE", 0.02)
+def test_lookup_with_hot_keys(spark, skewed, how):
+    facts = skewed[0].unionByName(spark.createDataFrame([(None, 1), (None, 1), (-5, 2)], "k long, x long"))
+    lookup = skewed[2].where("k % 2 = 0").unionByName(spark.createDataFrame([(7, 1), (7, 2)], "k long, z long"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = joins.attach_lookup(skewed[0], skewed[2], "k")
-        assert "_cell" in got._jdf.queryExecution().analyzed().toString()
-        assert bag(got) == bag(skewed[0].join(skewed[2], "k", "left"))
-        chain = joins.join_on_key(skewed, "k")
-        assert "_cell" in chain._jdf.queryExecution().analyzed().toString()
+        for chosen in (lookup, lookup.where("k <> 7")):  # a hot key that the lookup lacks is spread as well
+            hot = joins.lookup_hot_keys(facts, chosen, "k", per_task=20)
+            assert set(axes(hot)) == {7}
+            got = joins.attach_lookup(facts, chosen, "k", how, hot=hot)
+            plain = facts.join(chosen, "k", how)
+            key = lambda df: Counter(map(str, bag(df).elements()))
+            assert key(got) == key(plain) and got.columns == plain.columns
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert bag(chain) == bag(skewed[0].join(skewed[1], "k").join(skewed[2], "k"))
-
-
-def test_rows_without_a_key_are_spread(spark):
-    facts = spark.range(900).selectExpr("IF(id % 3 = 0, NULL, id) AS k", "id AS x")
-    lookup = spark.range(900).selectExpr("id AS k", "id * 2 AS z")
-    nulls = joins.HeavyKeys({}, nulls=True)
-    got = joins.attach_lookup(facts, lookup, "k", heavy=nulls)
-    key = lambda df: Counter(map(str, bag(df).elements()))
-    assert key(got) == key(facts.join(lookup, "k", "left"))
-    cells = joins._on_grid(facts, "k", 0, nulls).where("k IS NULL").select("_cell").distinct()
-    assert cells.count() > joins.MAX_AXIS / 2
-    both = joins.HeavyKeys({7: (4, 1)}, nulls=True)
-    assert key(joins.attach_lookup(facts, lookup, "k", heavy=both)) == key(got)
+    assert not joins.lookup_hot_keys(facts, lookup, "k", per_task=20)  # small enough to be broadcast
 
 
 def test_maps_do_not_stand_in_the_way(spark):
     facts = spark.range(60).selectExpr("IF(id % 2 = 0, 7, id) AS k", "map('a', id) AS m",
                                        "array(named_struct('x', map(1, id))) AS nested")
     lookup = spark.range(60).selectExpr("id AS k", "id AS z")
-    heavy = joins.heavy_keys([facts, lookup], "k", audit=[True, False], share=0.2)
-    got = joins.attach_lookup(facts, lookup, "k", heavy=heavy)
+    got = joins.attach_lookup(facts, lookup, "k", hot=joins.hot_keys([facts, lookup], "k", per_task=5))
     assert sorted(r.m["a"] for r in got.collect()) == list(range(60))
 
 

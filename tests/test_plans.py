@@ -40,7 +40,7 @@ def test_no_products_and_no_python(spark, small, name):
 def test_chain_shuffles_each_table_once(spark, small, no_broadcast):
     parts = [catalogue.standins.crm(spark, small), catalogue.standins.marketing(spark, small),
              catalogue.standins.sales(spark, small)]
-    text = plan(joins.join_on_key(parts, "Customer_ID", heavy=joins.HeavyKeys({})))
+    text = plan(joins.join_on_key(parts, "Customer_ID", hot=joins.HotKeys()))
     assert text.count("SortMergeJoin") == 2
     assert text.count("Exchange hashpartitioning") == 3
 
