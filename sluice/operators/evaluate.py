@@ -104,3 +104,12 @@ def scorecard(scored: DataFrame, label: str, *by: str) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("n")))
     card = f1_from_confusion(counts, *by, hit=F.col("predicted_status") == CONVERTED)
     return card.withColumn("effectiveness", percent(F.col("predicted_converted"), F.col("rows")))
+
+
+def coverage(leads: DataFrame, scored: DataFrame, *by: str) -> DataFrame:
+    """Leads that were given, scored and skipped, per group; one scan of each."""
+    given = leads.groupBy(*[quoted(c) for c in by]).agg(F.count(F.lit(1)).alias("given"))
+    done = scored.groupBy(*[quoted(c) for c in by]).agg(F.count(F.lit(1)).alias("scored"))
+    both = given.join(done, list(by), "left") if by else given.crossJoin(done)  # one row each
+    n = F.coalesce("scored", F.lit(0))
+    return both.select(*[quoted(c) for c in by], "given", n.alias("scored"), (F.col("given") - n).alias("skipped"))

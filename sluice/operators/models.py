@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.columns import CONVERTED, NOT_CONVERTED, class_name, quoted
 from sluice.operators.clean import categorical_columns, numeric_columns
+from sluice.operators.impute import SUFFIX, Imputation, columns_with_gaps, fit_imputation
 from sluice.operators.encode import (
     TargetEncoding, assembler, check_categories, class_names, fit_target_encoding,
     formula_encoder, scaler, string_indexer, vector_names,
@@ -42,6 +43,8 @@ class Recipe:
     indexed: tuple[str, ...] = ()
     features: str = "inp_features"
     classifier_label: str = "label"
+    #: Number columns with gaps in the training rows.
+    gaps: tuple[str, ...] = ()
 
     def with_classifier(self, **params) -> "Recipe":
         """The same recipe with other classifier parameters."""
@@ -54,9 +57,11 @@ class FittedFeatures:
     encoding: TargetEncoding | None
     stages: PipelineModel
     classes: tuple[str, ...]
+    imputation: Imputation = Imputation({})
 
     def transform(self, df: DataFrame) -> DataFrame:
-        encoded = self.encoding.transform(df) if self.encoding else df
+        filled = self.imputation.transform(df)
+        encoded = self.encoding.transform(filled) if self.encoding else filled
         return self.stages.transform(encoded)
 
 
@@ -75,7 +80,9 @@ class FunnelModel:
     def score(self, leads: DataFrame) -> DataFrame:
         """Add ``prediction``, ``probability`` and the text ``predicted_status``.
 
-        Leads need no label; a stream is scored like a table.
+        Leads need no label; a stream is scored like a table.  Numbers that were
+        missing in training too are filled.  Leads that lack one which never was
+        are left out, unless the recipe keeps them; see ``coverage``.
         """
         scored = self.classifier.transform(self.features.transform(leads))
         return scored.withColumn("predicted_status", class_name(F.col("prediction"), self.classes))
@@ -86,9 +93,12 @@ class FunnelModel:
         encoding = self.features.encoding
         if encoding:
             encoding.save(f"{path}/target-means")
+        imputation = self.features.imputation
+        if imputation.medians:
+            imputation.save(f"{path}/medians")
         SparkSession.active().createDataFrame(
-            [(self.name, list(self.classes), encoding is not None)],
-            "name string, classes array<string>, encoded boolean",
+            [(self.name, list(self.classes), encoding is not None, bool(imputation.medians))],
+            "name string, classes array<string>, encoded boolean, imputed boolean",
         ).write.mode("overwrite").parquet(f"{path}/header")
 
     @classmethod
@@ -97,7 +107,10 @@ class FunnelModel:
         *features, classifier = PipelineModel.load(f"{path}/stages").stages
         encoding = (TargetEncoding.load(spark, f"{path}/target-means")
                     if header["encoded"] else None)
-        return cls(FittedFeatures(encoding, PipelineModel(features), tuple(header["classes"])),
+        imputation = Imputation({})
+        if "imputed" in header and header["imputed"]:  # models saved before had no medians
+            imputation = Imputation.load(spark, f"{path}/medians")
+        return cls(FittedFeatures(encoding, PipelineModel(features), tuple(header["classes"]), imputation),
                    classifier, header["name"])
 
 
@@ -133,6 +146,8 @@ def fit_features(recipe: Recipe, frame: DataFrame,
     ``means_on`` names other rows for the target means, such as all rows, which
     shows the model the labels of the held-out ones.
     """
+    imputation = fit_imputation(frame, recipe.gaps)
+    frame = imputation.transform(frame)
     encoding = None
     if recipe.target_means:
         encoding = fit_target_encoding(frame if means_on is None else means_on,
@@ -141,7 +156,7 @@ def fit_features(recipe: Recipe, frame: DataFrame,
     check_categories(frame, recipe.indexed)
     stages = Pipeline(stages=list(recipe.stages)).fit(frame)
     names = class_names(stages.transform(frame), recipe.classifier_label)
-    return FittedFeatures(encoding, stages, tuple(names or BINARY))
+    return FittedFeatures(encoding, stages, tuple(names or BINARY), imputation)
 
 
 def fit(recipe: Recipe, train: DataFrame, means_on: DataFrame | None = None) -> FunnelModel:
@@ -152,6 +167,12 @@ def fit(recipe: Recipe, train: DataFrame, means_on: DataFrame | None = None) ->
 
 
 # -- recipes ----------------------------------------------------------------
+# Numbers that are missing among the rows a recipe is made for are filled with
+# the median, and a column beside them says where.
+
+def _gaps(train: DataFrame, predictors: Sequence[str]) -> tuple[str, ...]:
+    return tuple(columns_with_gaps(train, predictors))
+
 
 def _predictors(train: DataFrame, label: str, exclude: Sequence[str]) -> tuple[str, ...]:
     skip = {label, *exclude}
@@ -175,31 +196,32 @@ def logistic(train: DataFrame, label: str, exclude: Sequence[str] = (),
         LogisticRegression(featuresCol="sc_features", labelCol=f"{label}_enc",
                            maxIter=max_iter, threshold=threshold),
         target_means=tuple(target_means), indexed=texts, features="sc_features",
-        classifier_label=f"{label}_enc")
+        classifier_label=f"{label}_enc", gaps=_gaps(train, predictors))
 
 
 def _mean_encoded(train: DataFrame, label: str, exclude: Sequence[str]):
     predictors = _predictors(train, label, exclude)
     texts = tuple(c for c in categorical_columns(train) if c in predictors)
-    return predictors, texts, (assembler(predictors, handle_invalid="keep"),)
+    gaps = _gaps(train, predictors)
+    return predictors, texts, gaps, (assembler([*predictors, *[c + SUFFIX for c in gaps]], handle_invalid="skip"),)
 
 
 def forest(train: DataFrame, label: str = "label", exclude: Sequence[str] = (),
            trees: int = 20, depth: int = 5, seed: int = SEED) -> Recipe:
     """Target means and a random forest."""
-    predictors, texts, stages = _mean_encoded(train, label, exclude)
+    predictors, texts, gaps, stages = _mean_encoded(train, label, exclude)
     return Recipe("forest", predictors, label, stages,
                   RandomForestClassifier(featuresCol="inp_features", labelCol=label,
                                          numTrees=trees, maxDepth=depth, seed=seed),
-                  target_means=texts, classifier_label=label)
+                  target_means=texts, classifier_label=label, gaps=gaps)
 
 
 def boosted(train: DataFrame, label: str = "label", exclude: Sequence[str] = (),
             rounds: int = 20, depth: int = 5, step: float = 0.1, seed: int = SEED) -> Recipe:
     """Target means and gradient-boosted trees with logistic loss."""
-    predictors, texts, stages = _mean_encoded(train, label, exclude)
+    predictors, texts, gaps, stages = _mean_encoded(train, label, exclude)
     return Recipe("boosted", predictors, label, stages, _boosting(label, rounds, depth, step, seed),
-                  target_means=texts, classifier_label=label)
+                  target_means=texts, classifier_label=label, gaps=gaps)
 
 
 def indexed_boosted(train: DataFrame, label: str = "label", exclude: Sequence[str] = (),
@@ -217,13 +239,14 @@ def indexed_boosted(train: DataFrame, label: str = "label", exclude: Sequence[st
         widest = max(train.agg(
             F.lit(0), *[F.count_distinct(quoted(c)) for c in texts]).first())
         max_bins = max(DEFAULT_BINS, widest + 1)
-    numbers = [c for c in predictors if c not in texts]
+    gaps = _gaps(train, predictors)
+    numbers = [*[c for c in predictors if c not in texts], *[c + SUFFIX for c in gaps]]
     stages = (string_indexer(texts), assembler([*numbers, *[c + "_si" for c in texts]],
-                                               handle_invalid="keep"))
+                                               handle_invalid="skip"))
     classifier = _boosting(label, rounds, depth, step, seed)
     return Recipe("indexed_boosted", predictors, label, stages,
                   classifier.copy({classifier.maxBins: max_bins}),
-                  indexed=texts, classifier_label=label)
+                  indexed=texts, classifier_label=label, gaps=gaps)
 
 
 def _boosting(label: str, rounds: int, depth: int, step: float, seed: int) -> GBTClassifier:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions import CONVERTED, NOT_CONVERTED, class_name
-from sluice.operators import clean, encode, evaluate, joins, models, profile, tune
+from sluice.operators import (
+    clean, encode, evaluate, forest_tables, impute, joins, models, optimum, profile, tune,
+)
 from sluice.operators.split import split, split_name
 from sluice.plans import funnel, standins
 from sluice.sources import files, tables
-from sluice.sources.scratch import fresh_path
+from sluice.sources.scratch import fresh_path, materialise
 from sluice.streaming import lead_stream, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -363,6 +366,47 @@ def assemble_features(spark, folder):
             .select("Lead_ID", *_slots("inp_features", 2), "label"))
 
 
+def _gappy(spark, folder):
+    """Leads with what their customers' marketing says, which many customers have none of.
+
+    Sales of whole thousands lose their amount, so that a lead's own number is missing too.
+    """
+    touched = joins.attach_lookup(_labelled(spark, folder), funnel.clean_marketing(standins.marketing(spark, folder)),
+                                  "Customer_ID")
+    odd = F.floor(F.col("Sale_Amount")) % 10 == 0
+    return touched.withColumn("Sale_Amount", F.when(~odd, F.col("Sale_Amount")))
+
+
+GAPPY = ("Account_Balance", "Sale_Amount", "Touches", "Email_open_rate", "click_through_rate")
+
+
+@query
+def impute_features(spark, folder):
+    """Numbers of all leads, gaps filled with the training leads' medians, and where the gaps were."""
+    leads = _gappy(spark, folder)
+    train = _splits(leads)[0]
+    fitted = impute.fit_imputation(train, impute.columns_with_gaps(train, GAPPY))
+    return _rounded(fitted.transform(leads.select("Lead_ID", *GAPPY)))
+
+
+@query
+def gappy_train_coverage(spark, folder):
+    """Every kind of model trained and scored on leads with missing numbers: all leads get a score."""
+    leads = _gappy(spark, folder)
+    train = materialise(_splits(leads)[0], "train")
+    held_out = _held_out(leads)
+    built = {
+        "logistic": models.logistic(train, "label", NOT_FEATURES),
+        "logistic_encoded": models.logistic(train, "label", NOT_FEATURES, target_means=["Location", "Profession"]),
+        "forest": models.forest(train, exclude=NOT_FEATURES),
+        "boosted": models.boosted(train, exclude=NOT_FEATURES, rounds=5),
+        "indexed_boosted": models.indexed_boosted(train, exclude=NOT_FEATURES, rounds=5),
+    }
+    out = [evaluate.coverage(held_out, models.fit(recipe, train).score(held_out), "split")
+           .select(F.lit(kind).alias("kind"), "split", "given", "scored", "skipped") for kind, recipe in built.items()]
+    return reduce(DataFrame.unionByName, out)
+
+
 # -- evaluation ---------------------------------------------------------------
 
 @query
@@ -463,6 +507,72 @@ def gbt_param_search(spark, folder):
     return _trial_rows(found.frame(spark), "maxDepth", "stepSize")
 
 
+def _level_means(model: models.FunnelModel, leads: DataFrame, recipe: models.Recipe, columns) -> DataFrame:
+    """Per category of the training leads: its share of the label, and whether the model's mean is the same."""
+    train = _splits(leads)[0]
+    means = optimum.level_means(model.score(train), columns, recipe.classifier_label)
+    same = F.abs(F.col("label_mean") - F.col("probability_mean")) < 1e-3
+    return means.select("column", "level", "rows", F.round("label_mean", 6).alias("label_mean"), same.alias("same"))
+
+
+@query
+def lr_level_means(spark, folder):
+    """The logistic regression is the optimum: every category's mean probability is its true share."""
+    leads = _labelled(spark, folder)
+    recipe = models.logistic(leads, "label", NOT_FEATURES)
+    return _level_means(models.fit(recipe, _splits(leads)[0]), leads, recipe,
+                        ["Profession", "Lead_Source", "City", "Location"])
+
+
+@query
+def encoded_lr_level_means(spark, folder):
+    """The same behind target means: the columns that have a slot per category."""
+    leads = _labelled(spark, folder)
+    recipe = models.logistic(leads, "label", NOT_FEATURES, target_means=["Location", "Profession"])
+    return _level_means(models.fit(recipe, _splits(leads)[0]), leads, recipe, ["Lead_Source", "City"])
+
+
+@query
+def lr_certificate(spark, folder):
+    """Rows scored, and whether the gradient of the log-loss is zero for both logistic regressions."""
+    leads = _labelled(spark, folder)
+    train = _splits(leads)[0]
+    built = {"logistic": models.logistic(leads, "label", NOT_FEATURES),
+             "logistic_encoded": models.logistic(leads, "label", NOT_FEATURES, target_means=["Location", "Profession"])}
+    return reduce(DataFrame.unionByName, [
+        optimum.certificate(models.fit(recipe, train), recipe, train, tolerance=1e-3)
+        .select(F.lit(kind).alias("kind"), "rows", "optimal") for kind, recipe in built.items()])
+
+
+@query
+def forest_node_scores(spark, folder):
+    """Held-out leads scored by joining them to the forest's nodes, next to the model's own scores."""
+    leads = _labelled(spark, folder)
+    recipe = models.forest(leads, exclude=NOT_FEATURES)
+    model = models.fit(recipe, _splits(leads)[0])
+    scored = materialise(model.score(_held_out(leads)).select(
+        "Lead_ID", "split", recipe.features, vector_to_array("probability")[1].alias("own")), "scored")
+    nodes = forest_tables.tree_nodes(model.classifier, spark)
+    found = forest_tables.forest_probability(forest_tables.descend(scored, nodes, "Lead_ID", recipe.features))
+    both = scored.join(found, F.col("Lead_ID") == F.col("key"), "left")
+    return both.groupBy("split").agg(F.count(F.lit(1)).alias("scored"),
+                                     F.count_if(F.abs(F.col("own") - F.col("probability")) < 1e-9).alias("same"))
+
+
+@query
+def forest_gain_importance(spark, folder):
+    """Every feature's importance from the gains in the node table, next to the model's own."""
+    leads = _labelled(spark, folder)
+    recipe = models.forest(leads, exclude=NOT_FEATURES)
+    train = _splits(leads)[0]
+    model = models.fit(recipe, train)
+    own = models.feature_importance(model, recipe, train).withColumnRenamed("importance", "own")
+    found = forest_tables.importance_by_gain(forest_tables.tree_nodes(model.classifier, spark),
+                                             encode.vector_names(model.features.transform(train), recipe.features))
+    return own.join(found, "feature", "full").select(
+        "feature", (F.abs(F.col("own") - F.col("importance")) < 1e-9).alias("same"))
+
+
 def _trial_rows(runs: DataFrame, *names: str) -> DataFrame:
     return _rounded(runs.select("trial_id",
                                 *[F.col("params")[n].cast("double").alias(n) for n in names],

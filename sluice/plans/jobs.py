@@ -13,7 +13,7 @@ from sluice.functions.columns import conversion_label, quoted
 from sluice.operators import models, tune
 from sluice.operators.clean import trim_names
 from sluice.operators.encode import unlabelled_rows
-from sluice.operators.evaluate import scorecard
+from sluice.operators.evaluate import coverage, scorecard
 from sluice.operators.profile import column_profile, duplicate_audit, table_shape
 from sluice.operators.split import NAMES, split_name
 from sluice.plans import funnel
@@ -109,7 +109,9 @@ def train_funnel_model(spark: SparkSession, leads: DataFrame, kind: str,
     found = tune.param_search(recipe, train, validation,
                               trials or tune.draw_trials(space), parallelism, means_on)
     model = tune.retrain(recipe, found.best, train, means_on)
-    scores = scorecard(model.score(test), recipe.classifier_label)
+    scored = model.score(test)
+    scores = scorecard(scored, recipe.classifier_label).crossJoin(  # one row each
+        coverage(test, scored).select("skipped"))
     if runs_table:
         tables.append_runs(found.frame(spark), runs_table)
         final = [(0, found.best, scores.first()["weighted_f1"])]

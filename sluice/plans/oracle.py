@@ -113,6 +113,31 @@ SELECT k AS "Customer_ID",
        ceil(s / CASE WHEN t <= s THEN least(s, floor(100 / few)) ELSE few END)::BIGINT AS sale_axis
 FROM counts WHERE t * s > 100"""
 
+GAPPY = f"""{LEADS}, {MARKETING},
+  gappy AS (
+    SELECT leads.* EXCLUDE ("Sale_Amount"), "Touches", "Email_open_rate", "click_through_rate",
+           CASE WHEN floor("Sale_Amount") % 10 <> 0 THEN "Sale_Amount" END AS "Sale_Amount"
+    FROM leads LEFT JOIN marketing USING ("Customer_ID"))"""
+
+
+def _imputed() -> str:
+    """Discrete medians of the training leads; columns without a gap there are left alone."""
+    columns = ("Sale_Amount", "Touches", "Email_open_rate", "click_through_rate")
+    medians = ", ".join(f'quantile_disc("{c}", 0.5) AS "m_{c}"' for c in columns)
+    filled = ", ".join(f'round(coalesce("{c}"::DOUBLE, "m_{c}"::DOUBLE), 6) AS "{c}", '
+                       f'CASE WHEN "{c}" IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "{c}_missing"'
+                       for c in columns)
+    return f"""
+WITH {GAPPY}, medians AS (SELECT {medians} FROM gappy WHERE split = 'train')
+SELECT "Lead_ID", round("Account_Balance", 6) AS "Account_Balance", {filled} FROM gappy, medians"""
+
+
+def _level_shares(*columns: str) -> str:
+    return f"WITH {LEADS}" + " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", "{c}" AS level, count(*) AS rows, round(avg(label), 6) AS label_mean, TRUE AS same
+FROM leads WHERE split = 'train' GROUP BY "{c}" """ for c in columns)
+
+
 _ENCODED = ("Lead_Source", "Profession", "City", "Location")
 
 
@@ -213,6 +238,24 @@ WHERE bucket >= 800 AND "Start_Day" IN (SELECT "Start_Day" FROM complete WHERE b
     "funnel_join_chain": CHAIN,
     "funnel_join_heavy_keys": CHAIN,
     "funnel_join_touches": TOUCHES,
+    "lr_level_means": _level_shares("Profession", "Lead_Source", "City", "Location"),
+    "encoded_lr_level_means": _level_shares("Lead_Source", "City"),
+    "lr_certificate": f"""
+WITH {LEADS}
+SELECT kind, count(*) AS rows, TRUE AS optimal
+FROM leads, (VALUES ('logistic'), ('logistic_encoded')) AS k(kind) WHERE split = 'train' GROUP BY kind""",
+    "forest_node_scores": f"""
+WITH {LEADS}
+SELECT split, count(*) AS scored, count(*) AS same FROM leads WHERE split <> 'train' GROUP BY split""",
+    "forest_gain_importance": """
+SELECT unnest(['Account_Balance', 'Sale_Amount', 'Profession', 'City', 'Location', 'Lead_Source']) AS feature,
+       TRUE AS same""",
+    "impute_features": _imputed(),
+    "gappy_train_coverage": f"""
+WITH {GAPPY}
+SELECT kind, split, count(*) AS given, count(*) AS scored, 0::BIGINT AS skipped
+FROM gappy, (VALUES ('logistic'), ('logistic_encoded'), ('forest'), ('boosted'), ('indexed_boosted')) AS k(kind)
+WHERE split <> 'train' GROUP BY kind, split""",
     "funnel_join_touches_spread": TOUCHES,
     "hot_key_grids": GRIDS,
     "join_size": """

@@ -122,7 +122,7 @@ def test_lookup_with_hot_keys(spark, skewed, how):
             assert key(got) == key(plain) and got.columns == plain.columns
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert not joins.lookup_hot_keys(facts, lookup, "k", per_task=20)  # small enough to be broadcast
+    assert not joins.lookup_hot_keys(facts, skewed[2], "k", per_task=20)  # small enough to be broadcast
 
 
 def test_maps_do_not_stand_in_the_way(spark):
