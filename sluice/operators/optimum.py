@@ -21,21 +21,21 @@ def _probability() -> Column:
 def log_loss_gradient(scored: DataFrame, features: str, label: str) -> DataFrame:
     """``feature, gradient``: the mean of (probability - label) * value per slot, and for the intercept.
 
-    At the optimum of the log-loss without a penalty all of them are zero.  One
-    aggregation, whatever the number of slots: the sums of a vector weighted by
+    At the optimum of the log-loss without a penalty all of them are zero.  Two
+    scans, whatever the number of slots: weights, and the sums of a vector weighted by
     the probability and by the label, whose difference is the gradient.
     """
     weighted = scored.select(quoted(features).alias("x"), _probability().alias("p"), quoted(label).alias("y"))
-    sums = [F.struct(Summarizer.metrics("sum").summary(F.col("x"), F.col(w))["sum"].alias("x"),
-                     F.sum(w).alias("one")).alias(w) for w in ("p", "y")]
-    row = weighted.agg(*sums, F.count(F.lit(1)).alias("n")).first()  # one row of two vectors
     names = vector_names(scored, features)
-    if not row.n:
-        slots = [None] * (len(names) + 1)
+    ones = weighted.agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("p"), F.sum("y").alias("y")).first()
+    # Rows without weight are none to the summary, which fails on nothing at all.
+    sums = [Summarizer.metrics("sum").summary(F.col("x"), F.col(w))["sum"].alias(w) for w in ("p", "y") if ones[w]]
+    if sums:
+        row = weighted.agg(*sums).first().asDict()  # one row of two vectors at most
+        totals = [row[w].toArray() if w in row else 0.0 for w in ("p", "y")]
+        slots = [*((totals[0] - totals[1]) / ones.n).tolist(), (ones.p - ones.y) / ones.n]
     else:
-        # Rows without weight are no rows to the summary: all labels zero leave an empty sum.
-        totals = [row[w]["x"].toArray() if row[w]["one"] else 0.0 for w in ("p", "y")]
-        slots = [*((totals[0] - totals[1]) / row.n).tolist(), (row.p["one"] - row.y["one"]) / row.n]
+        slots = [0.0 if ones.n else None] * (len(names) + 1)
     return SparkSession.active().createDataFrame(
         list(zip([*names, "(intercept)"], slots)), "feature string, gradient double")
 
