@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.columns import CONVERTED, NOT_CONVERTED, class_name, quoted
+from sluice.operators.boosting import L1BoostedClassifier
 from sluice.operators.clean import categorical_columns, numeric_columns
 from sluice.operators.impute import SUFFIX, Imputation, columns_with_gaps, fit_imputation
 from sluice.operators.encode import (
@@ -224,6 +225,16 @@ def boosted(train: DataFrame, label: str = "label", exclude: Sequence[str] = (),
                   target_means=texts, classifier_label=label, gaps=gaps)
 
 
+def penalised(train: DataFrame, label: str = "label", exclude: Sequence[str] = (), rounds: int = 20,
+              depth: int = 6, step: float = 0.3, alpha: float = 0.0) -> Recipe:
+    """Target means and boosted trees with an L1 penalty ``alpha`` on their leaf weights."""
+    predictors, texts, gaps, stages = _mean_encoded(train, label, exclude)
+    return Recipe("penalised", predictors, label, stages,
+                  L1BoostedClassifier(featuresCol="inp_features", labelCol=label, maxIter=rounds, maxDepth=depth,
+                                      stepSize=step, alpha=alpha),
+                  target_means=texts, classifier_label=label, gaps=gaps)
+
+
 def indexed_boosted(train: DataFrame, label: str = "label", exclude: Sequence[str] = (),
                     rounds: int = 20, depth: int = 5, step: float = 0.1,
                     max_bins: int | None = None, seed: int = SEED) -> Recipe:

@@ -58,9 +58,9 @@ class SearchSpace:
     trials: int
 
 
-# The search spaces and their numbers of trials.  The boosted
-# trees have no L1 penalty on leaf weights, and an evaluation metric would only
-# be reported, so their grid is depth by step size.
+# The search spaces and their numbers of trials.  An evaluation
+# metric would only be reported, so it is left out.  Spark's own boosted trees
+# have no L1 penalty on leaf weights; the penalised ones do.
 LOGISTIC_SPACE = SearchSpace(
     "logistic", {"maxIter": Choice((100, 150, 200, 250, 300)), CUT_OFF: Uniform(0.4, 0.9)}, 10)
 LOGISTIC_WIDE_SPACE = SearchSpace(
@@ -69,6 +69,9 @@ FOREST_SPACE = SearchSpace(
     "forest", {"maxDepth": Stepped(5, 15, 3), "numTrees": Stepped(100, 500, 10)}, 9)
 BOOSTED_SPACE = SearchSpace(
     "boosted", {"maxDepth": Choice((5, 7, 10)), "stepSize": Choice((0.1, 0.2, 0.3))}, 54)
+PENALISED_SPACE = SearchSpace(
+    "penalised", {"maxDepth": Choice((5, 7, 10)), "alpha": Choice((0.01, 0.05, 0.1)),
+                  "stepSize": Choice((0.1, 0.2, 0.3))}, 54)
 
 
 def draw_trials(space: SearchSpace, trials: int | None = None, seed: int = 42) -> list[dict]:

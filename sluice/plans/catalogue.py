@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from sluice.functions import CONVERTED, NOT_CONVERTED, class_name
 from sluice.operators import (
-    clean, encode, evaluate, forest_tables, impute, joins, models, optimum, profile, tune,
+    boosting, clean, encode, evaluate, forest_tables, impute, joins, models, optimum, profile, tune,
 )
 from sluice.operators.split import split, split_name
 from sluice.plans import funnel, standins
@@ -470,6 +470,23 @@ def indexed_gbt_train_score(spark, folder):
     return _train_and_score(leads, models.indexed_boosted(leads, exclude=NOT_FEATURES))
 
 
+@query
+def penalised_train_score(spark, folder):
+    leads = _labelled(spark, folder)
+    return _train_and_score(leads, models.penalised(leads, exclude=NOT_FEATURES, rounds=10, alpha=0.1))
+
+
+@query
+def penalised_stump_scores(spark, folder):
+    """Every sale's probability from one tree of one split with an L1 penalty of five."""
+    sales = encode.label_binarize(standins.sales(spark, folder), "Conversion_Status")
+    rows = encode.assembler(["urgency", "month"]).transform(sales.select(
+        "Order_ID", "label", F.substring("Lead_Source", 1, 1).cast("double").alias("urgency"),
+        F.month("Start_Date").cast("double").alias("month")))
+    fitted = boosting.L1BoostedClassifier(maxIter=1, maxDepth=1, stepSize=0.5, alpha=5.0).fit(rows)
+    return fitted.transform(rows).select("Order_ID", F.round(vector_to_array("probability")[1], 6).alias("probability"))
+
+
 @query
 def feature_importance(spark, folder):
     leads = _labelled(spark, folder)

@@ -77,6 +77,7 @@ KINDS: Mapping[str, tuple[RecipeBuilder, tune.SearchSpace]] = {
         tune.LOGISTIC_WIDE_SPACE),
     "forest": (models.forest, tune.FOREST_SPACE),
     "boosted": (models.boosted, tune.BOOSTED_SPACE),
+    "penalised": (models.penalised, tune.PENALISED_SPACE),
     "indexed_boosted": (models.indexed_boosted, tune.BOOSTED_SPACE),
 }
 

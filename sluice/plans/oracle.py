@@ -138,6 +138,33 @@ SELECT '{c}' AS "column", "{c}" AS level, count(*) AS rows, round(avg(label), 6)
 FROM leads WHERE split = 'train' GROUP BY "{c}" """ for c in columns)
 
 
+#: Gradient sums at even odds; a leaf weighs -T(g) / (h + 1), T drawing g towards zero by five.
+STUMP = f"""
+WITH {SALES},
+  x AS (SELECT "Order_ID", CASE "Conversion_Status" WHEN 'Converted' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS y,
+               substr("Lead_Source", 1, 1)::DOUBLE AS urgency, month("Start_Date")::DOUBLE AS month FROM sales),
+  total AS (SELECT sum(0.5::DOUBLE - y) AS g, 0.25::DOUBLE * count(*) AS h FROM x),
+  cuts AS (
+    SELECT 0 AS feature, e.v, sum(0.5::DOUBLE - y) AS gl, 0.25::DOUBLE * count(*) AS hl
+    FROM (SELECT DISTINCT urgency AS v FROM x) e JOIN x ON urgency <= e.v GROUP BY e.v
+    UNION ALL
+    SELECT 1, e.v, sum(0.5::DOUBLE - y), 0.25::DOUBLE * count(*)
+    FROM (SELECT DISTINCT month AS v FROM x) e JOIN x ON month <= e.v GROUP BY e.v),
+  shrunk AS (
+    SELECT feature, v, gl, hl, h - hl AS hr, h, greatest(abs(gl) - 5, 0) * sign(gl) AS tl,
+           greatest(abs(g - gl) - 5, 0) * sign(g - gl) AS tr, greatest(abs(g) - 5, 0) * sign(g) AS t
+    FROM cuts, total),
+  best AS (
+    SELECT * FROM (SELECT *, round((tl * tl / (hl + 1) + tr * tr / (hr + 1) - t * t / (h + 1)) / 2, 9) AS gain
+                   FROM shrunk WHERE hl >= 1 AND hr >= 1)
+    ORDER BY gain DESC, feature, v LIMIT 1)
+SELECT "Order_ID", round(1 / (1 + exp(0.5::DOUBLE * CASE
+         WHEN gain <= 0 THEN t / (h + 1)
+         WHEN CASE feature WHEN 0 THEN urgency ELSE month END <= v THEN tl / (hl + 1)
+         ELSE tr / (hr + 1) END)), 6) AS probability
+FROM x, best"""
+
+
 _ENCODED = ("Lead_Source", "Profession", "City", "Location")
 
 
@@ -238,6 +265,7 @@ WHERE bucket >= 800 AND "Start_Day" IN (SELECT "Start_Day" FROM complete WHERE b
     "funnel_join_chain": CHAIN,
     "funnel_join_heavy_keys": CHAIN,
     "funnel_join_touches": TOUCHES,
+    "penalised_stump_scores": STUMP,
     "lr_level_means": _level_shares("Profession", "Lead_Source", "City", "Location"),
     "encoded_lr_level_means": _level_shares("Lead_Source", "City"),
     "lr_certificate": f"""
