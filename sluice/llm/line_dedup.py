@@ -115,36 +115,49 @@ def _near(a: Column, b: Column, distance: int = DISTANCE) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= distance
 
 
-def _blocks_of(lines: DataFrame, *more: str, blocks: int = BLOCKS, distance: int = DISTANCE) -> DataFrame:
-    return lines.select("key", "fp", *more, F.explode(block_keys(F.col("fp"), blocks, distance)).alias("block"))
+def crowded_blocks(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``block, fp, lead``: SimHashes of blocks that hold several lines, with the block's smallest.
+
+    ``marks`` has a row per SimHash, ``fp, n``.  Blocks are counted from their
+    numbers alone, a row per SimHash and block however many share it.
+    """
+    spread = marks.select("fp", "n", F.explode(block_keys(F.col("fp"), distance=distance)).alias("block"))
+    several = spread.groupBy("block").agg(F.min("fp").alias("lead"), F.sum("n").alias("n")).where("n > 1").select(
+        "block", "lead")
+    return spread.select("block", "fp").join(several, "block")
 
 
-def leader_pairs(spread: DataFrame, distance: int = DISTANCE) -> tuple[DataFrame, DataFrame]:
-    """``a, b``: each line with the smallest of its block, where they are near; and the blocks of several lines.
+def leader_pairs(lines: DataFrame, marks: DataFrame, crowd: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``a, b``: each line with the smallest of its SimHash, and that with the smallest of a near SimHash per block.
 
-    A row per line and block at most, however many lines a block has.
+    A row per line, and one per SimHash and block, at most.
     """
-    crowded = materialise(spread.groupBy("block").agg(
-        F.min(F.struct("fp", "key")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
-            "block", F.col("lead.fp").alias("lead_fp"), F.col("lead.key").alias("lead")), "crowded")
-    pairs = spread.join(crowded, "block").where((F.col("key") != F.col("lead")) & _near(
-        F.col("fp"), F.col("lead_fp"), distance)).select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct()
-    return pairs, crowded.select("block")
+    own = lines.join(marks.where("n > 1").select("fp", F.col("key").alias("b")), "fp").where("key <> b").select(
+        F.col("key").alias("a"), "b")
+    near = crowd.where((F.col("fp") != F.col("lead")) & _near(F.col("fp"), F.col("lead"), distance)).select(
+        "fp", "lead").distinct()
+    tops = marks.select("fp", F.col("key").alias("a"))
+    leads = marks.select(F.col("fp").alias("lead"), F.col("key").alias("b"))
+    return own.unionByName(near.join(tops, "fp").join(leads, "lead").select("a", "b"))
 
 
-def open_pairs(spread: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``a, b``: near lines of one block that belong to different groups so far.
+def open_pairs(lines: DataFrame, crowd: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``a, b``: near lines that belong to different groups so far, from ``key, fp, root``.
 
-    ``spread`` has ``key, fp, root, block``.  Blocks of a single group are left
-    out before any two lines meet.
+    Blocks of a single group are left out before any two SimHashes meet, and
+    lines meet only where their SimHashes are near and their groups differ.
     """
-    several = spread.groupBy("block").agg(F.min("root").alias("least"), F.max("root").alias("most")).where(
+    parts = crowd.select("block", "fp").join(lines.select("fp", "root").distinct(), "fp")
+    several = parts.groupBy("block").agg(F.min("root").alias("least"), F.max("root").alias("most")).where(
         "least <> most").select("block")
-    some = materialise(spread.join(several, "block"), "open")
-    left = some.select("block", F.col("key").alias("a"), F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
-    right = some.select("block", F.col("key").alias("b"), F.col("fp").alias("fp_b"), F.col("root").alias("root_b"))
-    return left.join(right, "block").where((F.col("root_a") < F.col("root_b")) & _near(
-        F.col("fp_a"), F.col("fp_b"), distance)).select("a", "b").distinct()
+    some = materialise(parts.join(several, "block"), "open")
+    left = some.select("block", F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
+    right = some.select("block", F.col("fp").alias("fp_b"), F.col("root").alias("root_b"))
+    near = left.join(right, "block").where((F.col("root_a") < F.col("root_b")) & _near(
+        F.col("fp_a"), F.col("fp_b"), distance)).drop("block").distinct()
+    one = lines.select(F.col("key").alias("a"), F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
+    two = lines.select(F.col("key").alias("b"), F.col("fp").alias("fp_b"), F.col("root").alias("root_b"))
+    return near.join(one, ["fp_a", "root_a"]).join(two, ["fp_b", "root_b"]).select("a", "b")
 
 
 def _as_symbols(norm: Column) -> Column:
@@ -172,36 +185,38 @@ def _lines_of(keys: DataFrame, texts: DataFrame) -> DataFrame:
                 .alias("line")))).alias("x")).select("x.*"))
 
 
-def _links(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+def _links(pairs: DataFrame, keys: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose lines are similar, as edges."""
+    pairs = materialise(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    lines = materialise(_lines_of(keys.join(wanted, "key", "left_semi"), texts), "symbols")
     one = lines.select(F.col("key").alias("a"), F.col("line").alias("line_a"))
     two = lines.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
-    return pairs.join(one, "a").join(two, "b").where(_similar(F.col("line_a"), F.col("line_b"), similarity)).select(
-        F.hex("a").alias("u"), F.hex("b").alias("v"))
+    return materialise(pairs.join(one, "a").join(two, "b").where(_similar(F.col("line_a"), F.col("line_b"), similarity))
+                       .select(F.hex("a").alias("u"), F.hex("b").alias("v")), "links")
 
 
 def line_groups(keys: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``key, root`` of lines that are linked to another, from ``key, fp, rid, pos``.
 
     One row per distinct line comes in, with a place where it stands.  In a
-    first pass each line is compared with one leader per block, the smallest;
-    that joins large groups of near copies with a row per line.  Then lines of
-    one block that are in different groups still are compared pair by pair, so
-    every near pair is compared unless its lines are connected already.
+    first pass each line is compared with one leader per SimHash and block, the
+    smallest; that joins large groups of near copies with a row per line.  Then
+    near lines that are in different groups still are compared pair by pair, so
+    every near pair is compared unless its lines are connected already.  Many
+    unlike lines of one SimHash stay quadratic in that second pass.
     """
-    marked = keys.where("fp IS NOT NULL")
-    spread = materialise(_blocks_of(marked.select("key", "fp")), "spread")
-    pairs, crowded = leader_pairs(spread)
-    pairs = materialise(pairs, "leaders")
-    wanted = materialise(spread.join(crowded, "block", "left_semi").select("key").distinct(), "wanted")
-    # Lines that share a block with another; few of them, as blocks are 25 bits or wider.
-    lines = materialise(_lines_of(marked.join(wanted, "key", "left_semi").select("key", "rid", "pos"), texts), "symbols")
-    edges = materialise(_links(pairs, lines, similarity), "links")
+    keys = keys.where("fp IS NOT NULL")
+    marks = materialise(keys.groupBy("fp").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")), "marks")
+    crowd = materialise(crowded_blocks(marks.select("fp", "n")), "crowd")
+    fps = crowd.select("fp").distinct()
+    lines = keys.select("key", "fp").join(fps, "fp", "left_semi")
+    edges = _links(leader_pairs(lines, marks, crowd), keys, texts, similarity)
     first = components(edges)
-    rooted = spread.join(crowded, "block", "left_semi").withColumn("node", F.hex("key")).join(
-        first, "node", "left").select("key", "fp", "block", F.coalesce("root", "node").alias("root"))
-    more = materialise(_links(open_pairs(rooted), lines, similarity), "links")
-    tied = components(edges.unionByName(more)) if not more.isEmpty() else first
+    rooted = materialise(lines.withColumn("node", F.hex("key")).join(first, "node", "left").select(
+        "key", "fp", F.coalesce("root", "node").alias("root")), "rooted")
+    more = _links(open_pairs(rooted, crowd), keys, texts, similarity)
+    tied = first if more.isEmpty() else components(edges.unionByName(more))
     return tied.select(F.unhex("node").alias("key"), F.unhex("root").alias("root"))
 
 

@@ -125,12 +125,15 @@ def test_chain_of_one_simhash(spark, docs_of, n):
 
 
 def test_leaders_bound_the_first_pass(spark):
-    """A block of many near lines gives a row per line, and none once they are one group."""
-    lines = spark.range(500).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("key"), F.lit(5).cast("long").alias("fp"))
-    spread = D._blocks_of(lines)
-    pairs, _ = D.leader_pairs(spread)
-    assert pairs.count() == 499
-    assert D.open_pairs(spread.withColumn("root", F.lit("r"))).count() == 0
+    """A SimHash or block of many lines gives a row per line, and none once they are one group."""
+    lines = spark.range(500).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("key"),
+                                    F.when(F.col("id") < 300, 5).otherwise(4).cast("long").alias("fp"))
+    marks = lines.groupBy("fp").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n"))
+    crowd = D.crowded_blocks(marks.select("fp", "n"))
+    assert D.leader_pairs(lines, marks, crowd).count() == 299 + 199 + 1
+    assert D.open_pairs(lines.withColumn("root", F.lit("r")), crowd).count() == 0
+    apart = lines.withColumn("root", F.when(F.col("fp") == 5, "r").otherwise("s"))
+    assert D.open_pairs(apart, crowd).count() == 300 * 200
 
 
 def test_short_lines_are_never_similar(spark, docs_of):
