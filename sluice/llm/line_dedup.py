@@ -115,46 +115,41 @@ def _near(a: Column, b: Column, distance: int = DISTANCE) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= distance
 
 
-def crowded_blocks(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``block, fp, lead``: SimHashes of blocks that hold several lines, with the block's smallest.
-
-    ``marks`` has a row per SimHash, ``fp, n``.  Blocks are counted from their
-    numbers alone, a row per SimHash and block however many share it.
-    """
-    spread = marks.select("fp", "n", F.explode(block_keys(F.col("fp"), distance=distance)).alias("block"))
-    several = spread.groupBy("block").agg(F.min("fp").alias("lead"), F.sum("n").alias("n")).where("n > 1").select(
-        "block", "lead")
-    return spread.select("block", "fp").join(several, "block")
+def _spread(marks: DataFrame, *more: str, distance: int = DISTANCE) -> DataFrame:
+    return marks.select("fp", *more, F.explode(block_keys(F.col("fp"), distance=distance)).alias("block"))
 
 
-def leader_pairs(lines: DataFrame, marks: DataFrame, crowd: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def leader_pairs(lines: DataFrame, marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``a, b``: each line with the smallest of its SimHash, and that with the smallest of a near SimHash per block.
 
-    A row per line, and one per SimHash and block, at most.
+    ``marks`` has ``fp, key, n``: a SimHash, its smallest line, its lines.  A row
+    per line, and one per SimHash and block, at most.
     """
     own = lines.join(marks.where("n > 1").select("fp", F.col("key").alias("b")), "fp").where("key <> b").select(
         F.col("key").alias("a"), "b")
-    near = crowd.where((F.col("fp") != F.col("lead")) & _near(F.col("fp"), F.col("lead"), distance)).select(
-        "fp", "lead").distinct()
+    several = _spread(marks).groupBy("block").agg(F.min("fp").alias("lead"), F.max("fp").alias("last")).where(
+        "lead <> last").select("block", "lead")
+    near = _spread(marks).join(several, "block").where((F.col("fp") != F.col("lead")) & _near(
+        F.col("fp"), F.col("lead"), distance)).select("fp", "lead").distinct()
     tops = marks.select("fp", F.col("key").alias("a"))
     leads = marks.select(F.col("fp").alias("lead"), F.col("key").alias("b"))
     return own.unionByName(near.join(tops, "fp").join(leads, "lead").select("a", "b"))
 
 
-def open_pairs(lines: DataFrame, crowd: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``a, b``: near lines that belong to different groups so far, from ``key, fp, root``.
+def open_pairs(lines: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``a, b``: near lines that belong to different groups so far, from ``key, fp, root``, a number.
 
     Blocks of a single group are left out before any two SimHashes meet, and
     lines meet only where their SimHashes are near and their groups differ.
     """
-    parts = crowd.select("block", "fp").join(lines.select("fp", "root").distinct(), "fp")
+    parts = _spread(lines.select("fp", "root").distinct(), "root")
     several = parts.groupBy("block").agg(F.min("root").alias("least"), F.max("root").alias("most")).where(
         "least <> most").select("block")
-    some = materialise(parts.join(several, "block"), "open")
+    some = parts.join(several, "block")
     left = some.select("block", F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
     right = some.select("block", F.col("fp").alias("fp_b"), F.col("root").alias("root_b"))
-    near = left.join(right, "block").where((F.col("root_a") < F.col("root_b")) & _near(
-        F.col("fp_a"), F.col("fp_b"), distance)).drop("block").distinct()
+    near = materialise(left.join(right, "block").where((F.col("root_a") < F.col("root_b")) & _near(
+        F.col("fp_a"), F.col("fp_b"), distance)).drop("block").distinct(), "open")
     one = lines.select(F.col("key").alias("a"), F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
     two = lines.select(F.col("key").alias("b"), F.col("fp").alias("fp_b"), F.col("root").alias("root_b"))
     return near.join(one, ["fp_a", "root_a"]).join(two, ["fp_b", "root_b"]).select("a", "b")
@@ -208,14 +203,14 @@ def line_groups(keys: DataFrame, texts: DataFrame, similarity: float = SIMILARIT
     """
     keys = keys.where("fp IS NOT NULL")
     marks = materialise(keys.groupBy("fp").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")), "marks")
-    crowd = materialise(crowded_blocks(marks.select("fp", "n")), "crowd")
-    fps = crowd.select("fp").distinct()
-    lines = keys.select("key", "fp").join(fps, "fp", "left_semi")
-    edges = _links(leader_pairs(lines, marks, crowd), keys, texts, similarity)
+    lines = keys.select("key", "fp")
+    edges = _links(leader_pairs(lines, marks), keys, texts, similarity)
     first = components(edges)
+    # Groups by a number of 64 bits: two that share one would be taken for one group already.
+    root = F.xxhash64(F.coalesce("root", "node"))
     rooted = materialise(lines.withColumn("node", F.hex("key")).join(first, "node", "left").select(
-        "key", "fp", F.coalesce("root", "node").alias("root")), "rooted")
-    more = _links(open_pairs(rooted, crowd), keys, texts, similarity)
+        "key", "fp", root.alias("root")), "rooted")
+    more = _links(open_pairs(rooted), keys, texts, similarity)
     tied = first if more.isEmpty() else components(edges.unionByName(more))
     return tied.select(F.unhex("node").alias("key"), F.unhex("root").alias("root"))
 
