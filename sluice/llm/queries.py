@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.alignment import align_tokenizers
-from sluice.llm.bpe import decode, encode
+from sluice.llm.bpe import encode
 from sluice.llm.chat_format import conversation_digests, format_conversations
 from sluice.llm.common import table
 from sluice.llm.license_scan import license_scan
@@ -85,8 +85,7 @@ def op7_simhash_near_dedup(spark, folder):
 @query
 def op8_byte_bpe(spark, folder):
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = encode(table(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN)
-    return decode(ids, vocabulary).select(
+    return encode(table(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))
 
