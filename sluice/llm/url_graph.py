@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from sluice.llm.common import free_name, materialise, quoted
 
 DAMPING = 0.85
-ROUNDS = 20
 #: Rounds end when no host's trust or distrust moves by more than this.
 SETTLED = 1e-6
 #: A host is blocked where distrust less trust reaches this share of a full seed's own mass.
@@ -62,15 +61,21 @@ def host_links(pages: DataFrame, url: str, html: str) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
+def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING,
            settled: float = SETTLED) -> DataFrame:
     """``host, trust, distrust`` from seeds ``host, trust, distrust``.
 
     Personalised PageRank of both at once: trust runs along links, shared out
     over a host's links; distrust runs against them, to the hosts that link to
     a distrusted one.  Hosts that are only linked to take part with empty seeds.
-    A round is one aggregation per host, written to the shared folder.
+    A round is one aggregation per host, written to the shared folder, so a lost
+    executor costs a round at most.  Rounds go on until no host moves by more
+    than ``settled``.  Each shrinks all moves together by ``damping``, so they do
+    end; what is left then is at most ``damping / (1 - damping)`` times the last
+    round's moves.
     """
+    if not 0 <= damping < 1 or settled <= 0:
+        raise ValueError("damping has to be in [0, 1) and settled above 0")
     links = materialise(links, "links")
     if links.isEmpty():
         return seeds.select("host", (F.col("trust") * (1 - damping)).alias("trust"),
@@ -87,7 +92,8 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds:
         (F.sum("trust") * (1 - damping)).alias("trust"),
         (F.sum("distrust") * (1 - damping)).alias("distrust")), "seeds")
     state = own
-    for _ in range(rounds):
+    moved = settled + 1
+    while moved > settled:
         sent = edges.join(state, edges.a == state.host).select(
             F.col("b").alias("host"), (F.col("trust") * F.col("t") * damping).alias("trust"),
             (F.col("distrust") * F.col("d") * damping).alias("distrust"))
@@ -95,10 +101,8 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds:
             F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "ranks")
         moved = (after.alias("x").join(state.alias("y"), "host").agg(F.max(F.greatest(
             F.abs(F.col("x.trust") - F.col("y.trust")),
-            F.abs(F.col("x.distrust") - F.col("y.distrust"))))).first()[0])
+            F.abs(F.col("x.distrust") - F.col("y.distrust"))))).first()[0]) or 0.0
         state = after
-        if moved is None or moved <= settled:
-            break
     return state
 
 

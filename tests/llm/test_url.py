@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from sluice.llm import url_graph as U
 from sluice.llm.queries import PAGE_RULES, QUERIES
 
@@ -38,7 +40,7 @@ def brute(pages):
             out[a] = out.get(a, 0) + n
         x = {h: 0.15 * s for h, s in seed[v].items()}
         own = dict(x)
-        for _ in range(U.ROUNDS):
+        for _ in range(200):
             y = dict(own)
             for (a, b), n in edges.items():
                 y[b] += 0.85 * x[a] * n / out[a]
@@ -75,6 +77,20 @@ def test_like_brute_force(spark):
     assert U.url_filter(df.where("false"), PAGE_RULES).count() == 0
 
 
+def test_ranks_reach_the_tolerance(spark):
+    """Two hosts that only link to each other pass trust on far longer than a few rounds."""
+    seeds = spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 0.0), ("c", 0.0, 1.0)],
+                                  "host string, trust double, distrust double")
+    links = spark.createDataFrame([("a", "b", 1), ("b", "a", 3), ("c", "a", 2)], "src string, dst string, n long")
+    got = {r.host: (r.trust, r.distrust) for r in U.spread(seeds, links).collect()}
+    exact = {"a": 0.15 / (1 - 0.85 ** 2), "b": 0.15 * 0.85 / (1 - 0.85 ** 2), "c": 0.0}
+    for host, trust in exact.items():
+        assert abs(got[host][0] - trust) < U.SETTLED * 0.85 / 0.15
+        assert abs(got[host][1] - (0.15 if host == "c" else 0.0)) < 1e-9
+    with pytest.raises(ValueError, match="damping"):
+        U.spread(seeds, links, damping=1.0)
+
+
 def test_query(spark, small):
     pages = [tuple(r) for r in spark.read.parquet(f"{small}/pages.parquet").select("page_id", "url", "html").collect()]
     got = sorted(map(tuple, QUERIES["op9_url_filters"](spark, small).collect()))
