@@ -14,7 +14,7 @@ from sluice.operators.joins import attach_lookup, lookup_hot_keys
 from sluice.sources.scratch import materialise
 
 #: A fitted index lives on the driver, so it is only built for columns with at
-#: most this many categories.  Target means have no such limit.
+#: most this many categories.  Target means and wide indexes have no such limit.
 MAX_INDEXED = 100_000
 
 
@@ -129,7 +129,7 @@ def check_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_IND
     wide = [c for i, c in enumerate(columns) if counts[i] > limit]
     if wide:
         raise ValueError(f"more than {limit} categories in {', '.join(wide)}; "
-                         "use target means for these columns")
+                         "use target means or a wide index for these columns")
 
 
 def string_indexer(columns: Sequence[str], suffix: str = "_si",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from sluice.functions import CONVERTED, NOT_CONVERTED, class_name
 from sluice.operators import (
-    boosting, clean, encode, evaluate, forest_tables, impute, joins, models, optimum, profile, tune,
+    boosting, clean, encode, evaluate, forest_tables, impute, index, joins, models, optimum, profile, tune,
 )
 from sluice.operators.split import split, split_name
 from sluice.plans import funnel, standins
@@ -357,6 +357,22 @@ def string_index(spark, folder):
             .select("Lead_ID", "City", "Lead_Source", "City_si", "Lead_Source_si"))
 
 
+@query
+def wide_index(spark, folder):
+    """All texts of the leads and their customers, most of whom training never saw."""
+    train, _, test = _splits(standins.leads(spark, folder))
+    columns = ["Profession", "City", "Location", "Lead_Source", "Customer_ID"]
+    return (index.fit_wide_index(train, columns).transform(test)
+            .select("Lead_ID", *[f"{c}_si" for c in columns]))
+
+
+@query
+def wide_index_levels(spark, folder):
+    """Every level of four columns of all order lines, with its rows and number."""
+    lines = tables.read_parquet(spark, folder, "lineitem")
+    return index.fit_wide_index(lines, ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag"]).named_levels()
+
+
 @query
 def assemble_features(spark, folder):
     leads = _labelled(spark, folder)

@@ -46,6 +46,9 @@ SCORED = f"""{LEADS},
              FROM leads)"""
 
 
+INDEXED = ("Profession", "City", "Location", "Lead_Source", "Customer_ID")
+
+
 def level_ranks(column: str, source: str = "leads WHERE split = 'train'") -> str:
     """Levels of a column by falling frequency, ties by name."""
     return (f'(SELECT "{column}" AS level, row_number() OVER (ORDER BY count(*) DESC, "{column}") - 1 '
@@ -340,6 +343,15 @@ SELECT "Lead_ID", "City", "Lead_Source", c.rank::DOUBLE AS "City_si",
 FROM leads JOIN {level_ranks('City')} c ON "City" = c.level
            JOIN {level_ranks('Lead_Source')} s ON "Lead_Source" = s.level
 WHERE split = 'test'""",
+    "wide_index": f"""
+WITH {LEADS}
+SELECT "Lead_ID", {', '.join(f"""coalesce((SELECT rank FROM {level_ranks(c)} r WHERE r.level = leads."{c}"),
+       (SELECT count(DISTINCT "{c}") FROM leads WHERE split = 'train'))::DOUBLE AS "{c}_si" """ for c in INDEXED)}
+FROM leads WHERE split = 'test'""",
+    "wide_index_levels": " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", {c}::VARCHAR AS level, count(*) AS n,
+       row_number() OVER (ORDER BY count(*) DESC, {c}::VARCHAR) - 1 AS rank
+FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c}""" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")),
     "assemble_features": f"""
 WITH {LEADS}
 SELECT "Lead_ID", "Sale_Amount" AS x0, "Account_Balance" AS x1, label FROM leads""",
