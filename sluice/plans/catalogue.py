@@ -521,6 +521,19 @@ def param_search(spark, folder):
     return _trial_rows(found.frame(spark), "maxIter", "threshold")
 
 
+@query
+def adaptive_param_search(spark, folder):
+    """The wide logistic space in batches, broken off after 12 of 32 trials and taken up from the run table."""
+    leads = standins.leads(spark, folder)
+    train, validation, _ = _splits(leads)
+    recipe, name = models.logistic(leads, "Conversion_Status", IDS), f"{_database(spark)}.adaptive_runs"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for trials in (12, None):
+        found = tune.adaptive_search(recipe, train, validation, tune.LOGISTIC_WIDE_SPACE, trials, startup=12,
+                                     runs_table=name)
+    return _trial_rows(found.frame(spark), "maxIter", "threshold")
+
+
 @query
 def forest_param_search(spark, folder):
     leads = _labelled(spark, folder)
