@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.columns import quoted
 from sluice.operators.clean import numeric_columns
-from sluice.sources.scratch import materialise
 
 Slot = tuple[int, int]  # (column, percentile), both as positions
 
@@ -21,14 +21,10 @@ Slot = tuple[int, int]  # (column, percentile), both as positions
 PERCENTILES = (0.25, 0.5, 0.75)
 #: Size parameter of the quantile sketch: rank error around 0.1 percent.
 SKETCH_SIZE = 4_000
-#: Half width of a bracket around a rank, as a share of the rows.
-MARGIN = 0.003
-#: Guaranteed rank error of the fallback summary is rows / ACCURACY.
-ACCURACY = 10_000
-#: Values of one column that a single task may rank.
-RANK_LIMIT = 20_000_000
-#: Bins per narrowing step.
-NARROWING = 256
+#: Leading bits of a value that one pass over it tells apart.
+BITS = 16
+#: The code of infinity.
+LARGEST = 2047 * 2 ** 52
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -133,115 +129,105 @@ def _sketches(df: DataFrame, percentiles: Sequence[float], names: Sequence[str])
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
-    """Exact distinct values per column; equal values merge before the shuffle."""
-    counts = df.agg(*[F.count_distinct(quoted(c)).alias(f"d{i}")
-                      for i, c in enumerate(df.columns)])
-    return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("distinct"))
-        for i, c in enumerate(df.columns)])))
+    """Exact distinct values per column; equal values merge before the shuffle.
+
+    Every column is counted by itself: a columnar source is read once in all,
+    and no row is copied per column.
+    """
+    return reduce(DataFrame.unionByName, [
+        df.select(quoted(c).alias("v")).where("v IS NOT NULL").distinct()
+        .agg(F.count(F.lit(1)).alias("distinct")).select(F.lit(c).alias("column"), "distinct")
+        for c in df.columns])
 
 
-def exact_percentiles(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float],
-                      rank_limit: int = RANK_LIMIT) -> DataFrame:
+def exact_percentiles(df: DataFrame, columns: Sequence[str],
+                      percentiles: Sequence[float]) -> DataFrame:
     """Discrete percentiles of number columns: the value at rank ``ceil(p * n)``.
 
-    A sketch brackets each rank, exact counts confirm the brackets, and only
-    the values inside a bracket are ranked, a fraction of a percent of the
-    rows and fewer where values repeat, since equal values merge before the
-    shuffle.  A bracket that misses its rank is drawn again from a summary with
-    a guaranteed error.  Where a bracket may hold more than ``rank_limit``
-    values it is narrowed before anything is ranked.
+    Doubles are numbered in their order by 64-bit codes.  A histogram of the
+    codes' leading ``BITS`` bits tells the bin that holds each rank; the next
+    pass looks at the values of these bins alone, by the bits that follow, until
+    a bin holds one value.  That takes ``64 / BITS`` passes at most, for all columns
+    together and however the values lie.  Rows are counted per bin before the
+    shuffle, so a task sends ``2 ** BITS`` counts per rank at most.
     """
     spark = df.sparkSession
-    empty = spark.createDataFrame([], "column string, percentile double, value double")
+    schema = "column string, percentile double, value double"
     if not columns:
-        return empty
-    # Each of these collects is one row, whatever the size of df.
-    edges = [e for p in percentiles for e in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
-    sketch = df.agg(
-        *[F.kll_sketch_agg_double(quoted(c).cast("double"), SKETCH_SIZE).alias(f"s{i}")
-          for i, c in enumerate(columns)],
-        *[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(columns)])
-    first = sketch.select(
-        *[F.when(F.col(f"n{i}") > 0, F.array(*[
-            F.kll_sketch_get_quantile_double(f"s{i}", F.lit(e)) for e in edges])).alias(f"b{i}")
-          for i in range(len(columns))],
-        *[f"n{i}" for i in range(len(columns))]).first()
-    slots = [(i, j) for i in range(len(columns)) if first[f"n{i}"]
-             for j in range(len(percentiles))]
-    if not slots:
-        return empty
-    ranks = {(i, j): max(1, math.ceil(percentiles[j] * first[f"n{i}"])) for i, j in slots}
-    bounds = {(i, j): (first[f"b{i}"][2 * j], first[f"b{i}"][2 * j + 1]) for i, j in slots}
-    below, upto = _bracket_counts(df, columns, bounds)
-    missed = [s for s in slots if not below[s] < ranks[s] <= upto[s]]
-    if missed:
-        bounds |= _guaranteed_brackets(df, columns, percentiles, missed)
-        below, upto = _bracket_counts(df, columns, bounds)
-
-    def inside(i: int, j: int) -> Column:
-        return quoted(columns[i]).cast("double").between(*bounds[i, j])
-
-    entries = [F.when(inside(i, j), F.struct(
-        F.lit(i).alias("i"), F.lit(j).alias("j"),
-        quoted(columns[i]).cast("double").alias("v"))) for i, j in slots]
-    tally = (df.where(reduce(lambda a, b: a | b, [inside(*s) for s in slots]))
-             .select(F.explode(F.array_compact(F.array(*entries))).alias("s"))
-             .groupBy("s.i", "s.j", "s.v").agg(F.count(F.lit(1)).alias("n")))
-    # A null value carries the number of rows below the bracket.
-    tally = tally.unionByName(spark.createDataFrame(
-        [(i, j, None, below[i, j]) for i, j in slots], "i int, j int, v double, n bigint"))
-    targets = spark.createDataFrame(
-        [(i, j, columns[i], float(percentiles[j]), ranks[i, j]) for i, j in slots],
-        "i int, j int, column string, percentile double, rank bigint")
-    largest = max(upto[s] - below[s] for s in slots)
-    while largest > rank_limit:
-        tally = _narrowed(materialise(tally, "ranks"), targets)
-        largest //= NARROWING
-    ranked = tally.withColumn("upto", F.sum("n").over(_upto("v"))).where("v IS NOT NULL")
-    return (ranked.join(targets, ["i", "j"]).where(F.col("upto") >= F.col("rank"))
-            .groupBy("column", "percentile").agg(F.min("v").alias("value")))
-
-
-def _bracket_counts(df: DataFrame, columns: Sequence[str],
-                    bounds: Mapping[Slot, tuple[float, float]]) -> tuple[dict, dict]:
-    """Rows below each bracket, and rows below or inside it."""
-    slots = list(bounds)
-    row = df.agg(*[agg for k, (i, j) in enumerate(slots) for agg in (
-        F.count_if(quoted(columns[i]).cast("double") < bounds[i, j][0]).alias(f"lo{k}"),
-        F.count_if(quoted(columns[i]).cast("double") <= bounds[i, j][1]).alias(f"hi{k}"))]).first()
-    return ({s: row[f"lo{k}"] for k, s in enumerate(slots)},
-            {s: row[f"hi{k}"] for k, s in enumerate(slots)})
-
-
-def _guaranteed_brackets(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float],
-                         slots: Sequence[Slot]) -> dict[Slot, tuple[float, float]]:
-    slack = 2.0 / ACCURACY
-    row = df.agg(*[F.percentile_approx(
-        quoted(columns[i]).cast("double"),
-        [max(0.0, percentiles[j] - slack), min(1.0, percentiles[j] + slack)],
-        ACCURACY).alias(f"b{k}") for k, (i, j) in enumerate(slots)]).first()
-    return {s: tuple(row[f"b{k}"]) for k, s in enumerate(slots)}
-
-
-def _upto(column: str) -> WindowSpec:
-    return (Window.partitionBy("i", "j").orderBy(F.col(column).asc_nulls_first())
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-
-def _narrowed(tally: DataFrame, targets: DataFrame) -> DataFrame:
-    """Keep the values of the one bin, out of ``NARROWING``, that holds the rank."""
-    steps = [k / NARROWING for k in range(1, NARROWING)]
-    edges = (tally.where("v IS NOT NULL").groupBy("i", "j")
-             .agg(F.percentile_approx("v", steps, ACCURACY).alias("edges")))
-    # A row per column and percentile, whatever the size of the table: hence the hints.
-    binned = tally.join(F.broadcast(edges), ["i", "j"]).withColumn(
-        "bin", F.when(F.col("v").isNull(), -1).otherwise(
-            F.size(F.filter("edges", lambda e: e < F.col("v"))))).drop("edges")
-    sizes = binned.groupBy("i", "j", "bin").agg(F.sum("n").alias("n"))
-    chosen = (sizes.withColumn("upto", F.sum("n").over(_upto("bin")))
-              .join(targets, ["i", "j"]).where(F.col("upto") >= F.col("rank"))
-              .groupBy("i", "j").agg(F.min("bin").alias("chosen")))
-    return (binned.join(F.broadcast(chosen), ["i", "j"]).where("bin <= chosen")
-            .withColumn("v", F.when(F.col("bin") == F.col("chosen"), F.col("v")))
-            .groupBy("i", "j", "v").agg(F.sum("n").alias("n")))
+        return spark.createDataFrame([], schema)
+    numbers = [quoted(c).cast("double") for c in columns]
+    ranks = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(float(p)).alias("p"))
+                      for j, p in enumerate(percentiles)])
+    long = (df.select(F.posexplode(F.array(*numbers)).alias("i", "v")).where("v IS NOT NULL")
+            .withColumn("bin", F.shiftright(_code(F.col("v")), 64 - BITS)))
+    sums = _histogram(long, "i")
+    located = (sums.select("*", F.inline(ranks))
+               .withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total"))))
+               .where("rank > upto - n AND rank <= upto")
+               .select("i", "j", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "lo", "hi"))
+    # One row per column and percentile, whatever the size of df.
+    open_slots = {(r.i, r.j): (r.rank, r.lo, r.hi) for r in located.collect()}
+    found = {}
+    while True:
+        found |= {s: lo for s, (_, lo, hi) in open_slots.items() if lo == hi or lo != lo}
+        open_slots = {s: v for s, v in open_slots.items() if s not in found}
+        if not open_slots:
+            break
+        open_slots = _refined(df, numbers, open_slots)
+    return spark.createDataFrame(
+        [(columns[i], float(percentiles[j]), v) for (i, j), v in found.items()], schema)
+
+
+def _refined(df: DataFrame, numbers: Sequence[Column],
+             slots: Mapping[Slot, tuple[int, float, float]]) -> dict:
+    """Each rank and the bounds of its bin, by the next bits of the values within the bounds."""
+    entries, inside = [], []
+    for (i, j), (_, lo, hi) in slots.items():
+        low, shift = code_of(lo), max(0, (code_of(hi) - code_of(lo)).bit_length() - BITS)
+        inside.append(numbers[i].between(lo, hi))
+        entries.append(F.when(inside[-1], F.struct(
+            F.lit(i).alias("i"), F.lit(j).alias("j"), numbers[i].alias("v"),
+            F.lit(low).cast("bigint").alias("low"), F.lit(shift).alias("shift"))))
+    ranks = reduce(lambda a, b: a.when(*b), [
+        ((F.col("i") == i) & (F.col("j") == j), F.lit(rank)) for (i, j), (rank, _, _) in slots.items()], F)
+    long = (df.where(reduce(lambda a, b: a | b, inside))
+            .select(F.inline(F.array_compact(F.array(*entries))))
+            .withColumn("code", _code(F.col("v")))
+            .withColumn("bin", F.expr("shiftright(code - low, shift)")))
+    located = (_histogram(long, "i", "j").withColumn("rank", ranks)
+               .where("rank > upto - n AND rank <= upto"))
+    return {(r.i, r.j): (r.rank - r.upto + r.n, r.lo, r.hi) for r in located.collect()}
+
+
+def _histogram(long: DataFrame, *keys: str) -> DataFrame:
+    """Rows per bin, summed up to and including it, with the least and largest value inside."""
+    order = Window.partitionBy(*keys).orderBy("bin")
+    return (long.groupBy(*keys, "bin")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .withColumn("upto", F.sum("n").over(
+                order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .withColumn("total", F.sum("n").over(Window.partitionBy(*keys))))
+
+
+def _code(v: Column) -> Column:
+    """A number per double, in the doubles' order: exponent and fraction, negative below zero."""
+    size = F.abs(v)
+    guess = F.floor(F.log2(size)).cast("int")
+    # The logarithm may be off by one next to a power of two.
+    power = (F.when(F.pow(F.lit(2.0), guess) > size, guess - 1)
+             .when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1).otherwise(guess))
+    fraction = (size / F.pow(F.lit(2.0), power) - 1.0) * F.lit(2.0 ** 52)
+    code = (F.when(size == 0, F.lit(0).cast("bigint"))
+            .when(F.isnan(size), F.lit(LARGEST + 1))
+            .when(size == float("inf"), F.lit(LARGEST))
+            .when(size < 2.0 ** -1022, (size / F.lit(5e-324)).cast("bigint"))
+            .otherwise((power + 1023).cast("bigint") * F.lit(2 ** 52) + fraction.cast("bigint")))
+    return F.when(v < 0, -code).otherwise(code)
+
+
+def code_of(v: float) -> int:
+    """The same for one value."""
+    if math.isnan(v):
+        return LARGEST + 1
+    code = struct.unpack(">q", struct.pack(">d", abs(v)))[0]
+    return -code if v < 0 else code

@@ -16,7 +16,7 @@ from sluice.operators import (
 )
 from sluice.operators.split import split, split_name
 from sluice.plans import funnel, standins
-from sluice.sources import files, tables
+from sluice.sources import files, records, tables
 from sluice.sources.scratch import fresh_path, materialise
 from sluice.streaming import lead_stream, score_stream
 
@@ -95,6 +95,15 @@ def csv_scan_multiline(spark, folder):
     return files.read_csv_multiline(spark, path, source.schema)
 
 
+@query
+def csv_scan_split(spark, folder):
+    """The same texts with their line breaks, each file read by many tasks."""
+    source = tables.read_parquet(spark, folder, "documents")
+    path = fresh_path(spark, "csv")
+    files.write_csv(source, path)
+    return records.read_csv_split(spark, path, source.schema)
+
+
 @query
 def table_scan(spark, folder):
     tables.read_parquet(spark, folder, "lineitem").createOrReplaceTempView("sluice_lineitem")

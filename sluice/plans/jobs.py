@@ -17,7 +17,7 @@ from sluice.operators.evaluate import coverage, scorecard
 from sluice.operators.profile import column_profile, duplicate_audit, table_shape
 from sluice.operators.split import NAMES, split_name
 from sluice.plans import funnel
-from sluice.sources import files, tables
+from sluice.sources import files, records, tables
 from sluice.sources.scratch import materialise
 
 
@@ -43,10 +43,10 @@ def load_marketing(spark: SparkSession, path: str, table: str,
 
 
 def load_sales(spark: SparkSession, path: str, table: str,
-               schema: T.StructType | None = None, types: Mapping[str, str] | None = None,
-               partitions: int | None = None) -> DataFrame:
+               schema: T.StructType | None = None,
+               types: Mapping[str, str] | None = None) -> DataFrame:
     """Sales CSV, with line breaks inside its fields, to cleaned table."""
-    raw = files.read_csv_multiline(spark, path, schema, types, partitions)
+    raw = records.read_csv_split(spark, path, schema, types)
     return tables.save_table(funnel.clean_sales(raw), table)
 
 

@@ -236,6 +236,7 @@ _TYPED = " UNION ALL ".join(
 ORACLES: dict[str, str] = {
     "csv_scan_infer": "SELECT * FROM orders",
     "csv_scan_multiline": "SELECT * FROM documents",
+    "csv_scan_split": "SELECT * FROM documents",
     "table_scan": "SELECT * FROM lineitem",
     "save_overwrite_roundtrip": "SELECT * FROM customer",
     "database_ddl": """SELECT o_orderpriority AS "Lead_Source", count(*) AS count

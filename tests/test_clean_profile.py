@@ -87,28 +87,41 @@ def discrete(values, p):
     return ranked[max(1, math.ceil(p * len(ranked))) - 1]
 
 
-@pytest.mark.parametrize("limit", [10, 10**9])
-def test_exact_percentiles_match_sorting(spark, limit):
+@pytest.mark.parametrize("bits", [16, 5])
+def test_exact_percentiles_match_sorting(spark, monkeypatch, bits):
+    monkeypatch.setattr(profile, "BITS", bits)
     rng = random.Random(7)
     rows = [(rng.gauss(0, 100), rng.choice([0, 0, 0, 1, 5]), 1 if i % 3 else None)
             for i in range(5000)]
     df = spark.createDataFrame(rows, "x double, skewed int, holes int").repartition(5)
     ps = (0.01, 0.25, 0.5, 0.99, 1.0)
     got = {(r.column, r.percentile): r.value
-           for r in profile.exact_percentiles(df, df.columns, ps, rank_limit=limit).collect()}
+           for r in profile.exact_percentiles(df, df.columns, ps).collect()}
     for i, c in enumerate(df.columns):
         for p in ps:
             assert got[c, p] == discrete([r[i] for r in rows if r[i] is not None], p), (c, p)
 
 
-def test_a_missed_bracket_is_drawn_again(spark, monkeypatch):
-    monkeypatch.setattr(profile, "SKETCH_SIZE", 8)
-    monkeypatch.setattr(profile, "MARGIN", 0.0)
+def test_codes_are_in_the_order_of_the_doubles(spark):
     rng = random.Random(3)
-    rows = [(rng.random(),) for _ in range(20_000)]
-    df = spark.createDataFrame(rows, "x double")
-    got = profile.exact_percentiles(df, ["x"], (0.3, 0.7)).orderBy("percentile").collect()
-    assert [r.value for r in got] == [discrete([r[0] for r in rows], p) for p in (0.3, 0.7)]
+    edge = [0.0, 5e-324, 1e-310, 2.0 ** -1022, 1.0, 1.7976931348623157e308, math.inf]
+    values = [*edge, *[2.0 ** k for k in range(-1074, 1024, 7)],
+              *[math.nextafter(2.0 ** k, d) for k in range(-1000, 1000, 13) for d in (0.0, math.inf)],
+              *[rng.random() * 10.0 ** rng.randint(-300, 300) for _ in range(300)]]
+    values = sorted({*values, *[-v for v in values]}) + [math.nan]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.c for r in df.coalesce(1).select(profile._code(df.v).alias("c")).collect()]
+    assert got == [profile.code_of(v) for v in values]
+    assert got == sorted(set(got))
+
+
+def test_far_apart_and_equal_values(spark):
+    rows = [(1e300, 7.0, -0.0), (-1e-300, 7.0, 0.0), (math.nextafter(1.0, 2.0), 7.0, 0.0), (1.0, 7.0, -1.0)]
+    df = spark.createDataFrame(rows, "x double, same double, zeros double")
+    ps = (0.25, 0.5, 0.75, 1.0)
+    got = {(r.column, r.percentile): r.value for r in profile.exact_percentiles(df, df.columns, ps).collect()}
+    for i, c in enumerate(df.columns):
+        assert [got[c, p] for p in ps] == sorted(r[i] for r in rows)
 
 
 def test_percentiles_of_nothing(spark):
