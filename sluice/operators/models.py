@@ -10,6 +10,7 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
+from pyspark.ml.feature import RFormulaModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +64,16 @@ class FittedFeatures:
     def transform(self, df: DataFrame) -> DataFrame:
         filled = self.imputation.transform(df)
         encoded = self.encoding.transform(filled) if self.encoding else filled
-        return self.stages.transform(encoded)
+        absent = [name for name in self._labels() if name not in df.columns]
+        # An indexed label that leads lack would fail, or drop them as unseen.
+        known = encoded.withColumns({name: F.lit(self.classes[0]) for name in absent})
+        return self.stages.transform(known).drop(*absent, *[name + "_enc" for name in absent])
+
+    def _labels(self) -> list[str]:
+        """Text labels that a formula indexes."""
+        formulas = [s.getFormula() for s in self.stages.stages if isinstance(s, RFormulaModel)]
+        names = [f.split("~")[0].strip() for f in formulas]
+        return [n for n in names if n != "label"]
 
 
 @dataclass(frozen=True)

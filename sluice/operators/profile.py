@@ -144,12 +144,12 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str],
                       percentiles: Sequence[float]) -> DataFrame:
     """Discrete percentiles of number columns: the value at rank ``ceil(p * n)``.
 
-    Doubles are numbered in their order by 64-bit codes.  A histogram of the
-    codes' leading ``BITS`` bits tells the bin that holds each rank; the next
-    pass looks at the values of these bins alone, by the bits that follow, until
-    a bin holds one value.  That takes ``64 / BITS`` passes at most, for all columns
+    A histogram over parts of octaves tells the bin that holds each rank.
+    Doubles are also numbered in their order by 64-bit codes: the next passes look at the
+    values of these bins alone, each by the next ``BITS`` bits of their codes, until
+    a bin holds one value.  That takes ``1 + 48 / BITS`` passes at most, for all columns
     together and however the values lie.  Rows are counted per bin before the
-    shuffle, so a task sends ``2 ** BITS`` counts per rank at most.
+    shuffle, so a task sends some ``2 ** BITS`` counts per rank at most.
     """
     spark = df.sparkSession
     schema = "column string, percentile double, value double"
@@ -159,7 +159,7 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str],
     ranks = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(float(p)).alias("p"))
                       for j, p in enumerate(percentiles)])
     long = (df.select(F.posexplode(F.array(*numbers)).alias("i", "v")).where("v IS NOT NULL")
-            .withColumn("bin", F.shiftright(_code(F.col("v")), 64 - BITS)))
+            .withColumn("bin", _octave_part(F.col("v"))))
     sums = _histogram(long, "i")
     located = (sums.select("*", F.inline(ranks))
                .withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total"))))
@@ -209,6 +209,16 @@ def _histogram(long: DataFrame, *keys: str) -> DataFrame:
             .withColumn("total", F.sum("n").over(Window.partitionBy(*keys))))
 
 
+def _octave_part(v: Column) -> Column:
+    """A number that never falls as ``v`` grows, 32 to each doubling of its size."""
+    size = F.abs(v)
+    part = (F.when(size == 0, F.lit(0).cast("bigint"))
+            .when(F.isnan(size), F.lit(2 ** 20 + 1).cast("bigint"))
+            .when(size == float("inf"), F.lit(2 ** 20).cast("bigint"))
+            .otherwise(F.floor(F.log2(size) * 32) + 1075 * 32))
+    return F.when(v < 0, -part).otherwise(part)
+
+
 def _code(v: Column) -> Column:
     """A number per double, in the doubles' order: exponent and fraction, negative below zero."""
     size = F.abs(v)

@@ -18,7 +18,9 @@ from sluice.operators.split import split, split_name
 from sluice.plans import funnel, standins
 from sluice.sources import files, records, tables
 from sluice.sources.scratch import fresh_path, materialise
-from sluice.streaming import lead_stream, score_stream
+from sluice.streaming import (
+    first_deliveries, lead_stream, publish_model, score_newest, score_stream, scored_leads,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -657,38 +659,83 @@ def retrain_best(spark, folder):
         *[F.col("params")[k].cast("double").alias(k) for k in best])
 
 
+def _planted(spark: SparkSession, folder: str) -> DataFrame:
+    """Leads whose status follows from two numbers, so that a model predicts both classes."""
+    converted = F.col("Account_Balance") + F.col("Sale_Amount") / 100 > 5000
+    return standins.leads(spark, folder).withColumn(
+        "Conversion_Status", F.when(converted, CONVERTED).otherwise(NOT_CONVERTED))
+
+
+def _planted_model(leads: DataFrame) -> models.FunnelModel:
+    return models.fit(models.logistic(leads, "Conversion_Status", IDS, handle_invalid="keep"),
+                      _splits(leads)[0])
+
+
+def _probability(name: str) -> Column:
+    return vector_to_array("probability")[0].alias(name)
+
+
+def _agreement(scored: DataFrame) -> DataFrame:
+    """Leads by whether two probabilities are equal to 1e-9, and how many classes are predicted."""
+    return scored.agg(F.count("before").alias("scored"),
+                      F.count_if(F.abs(F.col("before") - F.col("after")) <= 1e-9).alias("same"),
+                      F.count_distinct("predicted_status").alias("classes"))
+
+
 @query
 def model_save_load(spark, folder):
     """Every test lead scored by a model and by its reloaded copy."""
-    leads = standins.leads(spark, folder)
-    train, _, test = _splits(leads)
-    model = models.fit(models.logistic(leads, "Conversion_Status", IDS), train)
+    leads = _planted(spark, folder)
+    test = _splits(leads)[2]
+    model = _planted_model(leads)
     path = fresh_path(spark, "model")
     model.save(path)
-    first = model.score(test).select(*test.columns, F.col("prediction").alias("before"))
+    first = model.score(test).select(*test.columns, _probability("before"))
     second = models.FunnelModel.load(spark, path).score(first)
-    return second.agg(F.count(F.lit(1)).alias("scored"),
-                      F.count_if(F.col("prediction") == F.col("before")).alias("same"))
+    return _agreement(second.select("before", _probability("after"), "predicted_status"))
+
+
+def _arriving_orders(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        F.col("o_custkey").alias("Customer_ID"), F.col("o_orderkey").alias("Order_ID"),
+        F.col("o_totalprice").alias("Sale_Amount"), F.col("o_orderpriority").alias("Lead_Source"))
 
 
 @query
 def score_leads_stream(spark, folder):
     """Every lead scored from a stream, next to the score a batch gives it."""
-    leads = standins.leads(spark, folder)
-    model = models.fit(models.logistic(leads, "Conversion_Status", IDS, handle_invalid="keep"),
-                       _splits(leads)[0])
+    leads = _planted(spark, folder)
+    model = _planted_model(leads)
     orders = lead_stream(spark, folder, tables.read_parquet(spark, folder, "orders").schema,
                          "orders.parquet")
-    arriving = standins.lead_details(spark, folder, orders.select(
-        F.col("o_custkey").alias("Customer_ID"), F.col("o_orderkey").alias("Order_ID"),
-        F.col("o_totalprice").alias("Sale_Amount"), F.col("o_orderpriority").alias("Lead_Source")))
+    arriving = standins.lead_details(spark, folder, _arriving_orders(orders))
     out = fresh_path(spark, "scores")
-    score_stream(model, arriving, out, fresh_path(spark, "stream"), ["Lead_ID"]).awaitTermination()
-    streamed = spark.read.parquet(out)
-    batch = model.score(leads).select("Lead_ID", F.col("prediction").alias("batch"))
-    return streamed.join(batch, "Lead_ID", "full").agg(
-        F.count("prediction").alias("streamed"), F.count("batch").alias("batched"),
-        F.count_if(F.col("prediction") == F.col("batch")).alias("same"))
+    score_stream(model, arriving, out, fresh_path(spark, "stream"),
+                 ["Lead_ID", "probability"]).awaitTermination()
+    streamed = spark.read.parquet(out).select("Lead_ID", _probability("after"), "predicted_status")
+    batch = model.score(leads).select("Lead_ID", _probability("before"))
+    return _agreement(streamed.join(batch, "Lead_ID", "full"))
+
+
+@query
+def score_leads_deliveries(spark, folder):
+    """Every order delivered twice and scored once, a row per lead."""
+    leads = _planted(spark, folder)
+    model = _planted_model(leads)
+    inbox, registry, out = (fresh_path(spark, n) for n in ("inbox", "models", "scores"))
+    orders = tables.read_parquet(spark, folder, "orders")
+    for _ in range(2):
+        orders.write.mode("append").parquet(inbox)
+    publish_model(spark, model, registry)
+    stream = (lead_stream(spark, inbox, orders.schema, files_per_batch=len(orders.inputFiles()))
+              .withColumn("Start_Date", F.col("o_orderdate").cast("timestamp")))
+    once = first_deliveries(stream, ["o_orderkey"], "Start_Date", "36500 days")
+    score_newest(standins.lead_details(spark, folder, _arriving_orders(once)), registry, out,
+                 fresh_path(spark, "stream"), ["Lead_ID"]).awaitTermination()
+    batch = model.score(leads).select("Lead_ID", _probability("before"))
+    close = F.abs(F.col("probability")[0] - F.col("before")) <= 1e-9
+    return (scored_leads(spark, out).join(batch, "Lead_ID", "full")
+            .select("Lead_ID", "model_version", close.alias("same")))
 
 
 def entry(spark: SparkSession, folder: str) -> DataFrame:

@@ -360,7 +360,10 @@ SELECT "Lead_ID", "Sale_Amount" AS x0, "Account_Balance" AS x1, label FROM leads
     "threshold_sweep": f"""
 WITH {SWEPT}, {f1('swept', 'threshold')} SELECT threshold, rows, weighted_f1 FROM f1""",
     "model_save_load": f"""
-WITH {LEADS} SELECT count(*) AS scored, count(*) AS same FROM leads WHERE split = 'test'""",
+WITH {LEADS}
+SELECT count(*) AS scored, count(*) AS same, 2::BIGINT AS classes FROM leads WHERE split = 'test'""",
     "score_leads_stream": f"""
-WITH {LEADS} SELECT count(*) AS streamed, count(*) AS batched, count(*) AS same FROM leads""",
+WITH {LEADS} SELECT count(*) AS scored, count(*) AS same, 2::BIGINT AS classes FROM leads""",
+    "score_leads_deliveries": f"""
+WITH {LEADS} SELECT "Lead_ID", 1::BIGINT AS model_version, true AS same FROM leads""",
 }

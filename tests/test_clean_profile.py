@@ -113,6 +113,8 @@ def test_codes_are_in_the_order_of_the_doubles(spark):
     got = [r.c for r in df.coalesce(1).select(profile._code(df.v).alias("c")).collect()]
     assert got == [profile.code_of(v) for v in values]
     assert got == sorted(set(got))
+    parts = [r.c for r in df.coalesce(1).select(profile._octave_part(df.v).alias("c")).collect()]
+    assert parts == sorted(parts) and parts.count(0) == 1
 
 
 def test_far_apart_and_equal_values(spark):
