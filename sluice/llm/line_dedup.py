@@ -25,6 +25,9 @@ BLOCKS = 5
 SIMILARITY = 0.8
 #: Words whose bits are counted in lanes of 8 bits before they go into wider ones.
 SHORT = 127
+#: Numbers of 64 parities that are kept per line.
+PARITIES = 4
+MARKS = [f"p{j}" for j in range(PARITIES)]
 #: Bytes of text per bucket of the working table.
 BUCKET_BYTES = 8 << 20
 #: Code points that stand for words in the edit distance, all planes above the first: two
@@ -37,11 +40,11 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\p{N}+", "0"), r"[^\p{L}0]+", " "))
 
 
-def _simhash(n: str = "n", sums: str = "sums") -> Column:
-    """Majority of each bit from 32 sums that count two bits each."""
+def _simhash(n: str = "n") -> Column:
+    """Majority of each bit from the 32 columns ``s0, s1, ...`` that count two bits each."""
     bits = []
     for j in range(32):
-        both = F.col(sums)[f"s{j}"]
+        both = F.col(f"s{j}")
         low, high = both.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(both, 32)
         bits.append(F.when(low * 2 > F.col(n), F.lit(1 << j)).otherwise(F.lit(0).cast("long")))
         top = 1 << (j + 32) if j < 31 else -(1 << 63)
@@ -49,26 +52,22 @@ def _simhash(n: str = "n", sums: str = "sums") -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
-def _zeros(n: int) -> Column:
-    return F.struct(*[F.lit(0).cast("long").alias(f"s{j}") for j in range(n)])
-
-
-def _block_sums(words: Column) -> Column:
+def _lanes(h: Column) -> list[Column]:
     """How often each bit is set in at most ``SHORT`` hashes: 8 numbers of 8 counts each."""
-    lanes = F.lit(0x0101010101010101)
-    return F.aggregate(words, _zeros(8), lambda acc, h: F.struct(*[
-        (acc[f"s{j}"] + F.shiftrightunsigned(h, j).bitwiseAND(lanes)).alias(f"s{j}") for j in range(8)]))
+    return [F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(0x0101010101010101))).alias(f"t{j}") for j in range(8)]
 
 
-def _line_sums(words: Column) -> Column:
+def _pairs_of_bits() -> list[Column]:
     """The same for a line of any length: 32 numbers of two counts each."""
-    blocks = F.when(F.size(words) <= SHORT, F.array(words)).otherwise(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(SHORT)),
-        lambda start: F.slice(words, start, SHORT)))
-    pair = F.lit(0x000000FF000000FF)
-    return F.aggregate(F.transform(blocks, _block_sums), _zeros(32), lambda acc, sums: F.struct(*[
-        (acc[f"s{j}"] + F.shiftrightunsigned(sums[f"s{j % 8}"], j - j % 8).bitwiseAND(pair)).alias(f"s{j}")
-        for j in range(32)]))
+    return [F.sum(F.shiftrightunsigned(f"t{j % 8}", j - j % 8).bitwiseAND(F.lit(0x000000FF000000FF))).alias(f"s{j}")
+            for j in range(32)]
+
+
+def _parities(h: Column) -> list[Column]:
+    """Whether a line has an odd number of words of each of 64 * ``PARITIES`` kinds."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))
+    kind = F.pmod(F.shiftrightunsigned(h, 6), F.lit(PARITIES))
+    return [F.bit_xor(F.when(kind == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{j}") for j in range(PARITIES)]
 
 
 def least_words(similarity: float) -> int:
@@ -81,22 +80,24 @@ def least_words(similarity: float) -> int:
 
 
 def line_hashes(texts: DataFrame, least: int) -> DataFrame:
-    """``id, rid, pos, key, fp``: a digest of the normalised line and the SimHash of its words.
+    """``id, rid, pos, key, fp, n, p0, ...``: a digest of the normalised line, the SimHash of its words, how many, their parities.
 
     Lines of fewer than ``least`` words are similar to none but their equals and
     get no SimHash.
 
     Lines are normalised inside the array, so that it is done once for each.
-    The words of a line are counted where they stand, as one array: no row per
-    word, no grouping and no shuffle.
+    Where texts are bucketed by ``rid``, the words of a line are counted in the
+    task that reads it, without a shuffle.
     """
     lines = (texts.select("id", "rid", F.posexplode(F.transform(F.split("text", "\n", -1), normalised))
                           .alias("pos", "norm")).where("norm <> ''"))
     words = lines.select("id", "rid", "pos", F.unhex(F.md5("norm")).alias("key"),
-                         F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("words"))
-    sums = words.select("id", "rid", "pos", "key", F.size("words").alias("n"),
-                        F.when(F.size("words") >= least, _line_sums(F.col("words"))).alias("sums"))
-    return sums.select("id", "rid", "pos", "key", F.when(F.col("n") >= least, _simhash()).alias("fp"))
+                         F.posexplode(F.split("norm", " ")).alias("at", "word"))
+    line, h = ["id", "rid", "pos", "key"], F.col("h")
+    some = words.select(*line, F.floor(F.col("at") / SHORT).alias("part"), F.xxhash64("word").alias("h")).groupBy(
+        *line, "part").agg(F.count(F.lit(1)).alias("n"), *_lanes(h), *_parities(h))
+    sums = some.groupBy(*line).agg(F.sum("n").alias("n"), *_pairs_of_bits(), *[F.bit_xor(p).alias(p) for p in MARKS])
+    return sums.select(*line, F.when(F.col("n") >= least, _simhash()).alias("fp"), "n", *MARKS)
 
 
 def block_keys(fp: Column, blocks: int = BLOCKS, distance: int = DISTANCE) -> Column:
@@ -119,7 +120,16 @@ def _spread(marks: DataFrame, *more: str, distance: int = DISTANCE) -> DataFrame
     return marks.select("fp", *more, F.explode(block_keys(F.col("fp"), distance=distance)).alias("block"))
 
 
-def leader_pairs(lines: DataFrame, marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def shared_blocks(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``block, fp, lead``: SimHashes per block that holds more than one, and the smallest there."""
+    parts = _spread(marks.select("fp"), distance=distance).repartition("block")
+    several = parts.groupBy("block").agg(F.min("fp").alias("lead"), F.max("fp").alias("last")).where(
+        "lead <> last").select("block", "lead")
+    return parts.join(several, "block").select("block", "fp", "lead")
+
+
+def leader_pairs(lines: DataFrame, marks: DataFrame, distance: int = DISTANCE,
+                 shared: DataFrame | None = None) -> DataFrame:
     """``a, b``: each line with the smallest of its SimHash, and that with the smallest of a near SimHash per block.
 
     ``marks`` has ``fp, key, n``: a SimHash, its smallest line, its lines.  A row
@@ -127,32 +137,51 @@ def leader_pairs(lines: DataFrame, marks: DataFrame, distance: int = DISTANCE) -
     """
     own = lines.join(marks.where("n > 1").select("fp", F.col("key").alias("b")), "fp").where("key <> b").select(
         F.col("key").alias("a"), "b")
-    several = _spread(marks).groupBy("block").agg(F.min("fp").alias("lead"), F.max("fp").alias("last")).where(
-        "lead <> last").select("block", "lead")
-    near = _spread(marks).join(several, "block").where((F.col("fp") != F.col("lead")) & _near(
+    if shared is None:
+        shared = shared_blocks(marks, distance)
+    near = shared.where((F.col("fp") != F.col("lead")) & _near(
         F.col("fp"), F.col("lead"), distance)).select("fp", "lead").distinct()
     tops = marks.select("fp", F.col("key").alias("a"))
     leads = marks.select(F.col("fp").alias("lead"), F.col("key").alias("b"))
     return own.unionByName(near.join(tops, "fp").join(leads, "lead").select("a", "b"))
 
 
-def open_pairs(lines: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def _may_be_similar(similarity: float) -> Column:
+    """No pair that this leaves out is similar: an edit changes two parities at most, and the length by one word."""
+    most = (F.greatest("n_a", "n_b") * (1 - similarity) + 1e-9).cast("int")
+    odd = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in MARKS])
+    return (F.abs(F.col("n_a") - F.col("n_b")) <= most) & (odd <= most * 2)
+
+
+def _other_groups(rows: DataFrame, key: str, condition: Column) -> DataFrame:
+    """``a, b``: lines that share ``key``, belong to different groups and fulfil ``condition``.
+
+    Keys of a single group are left out before any two lines meet.
+    """
+    rows = rows.repartition(key)
+    several = rows.groupBy(key).agg(F.min("root").alias("least"), F.max("root").alias("most")).where(
+        "least <> most").select(key)
+    some = rows.join(several, key)
+    sides = [some.select(key, *[F.col(c).alias(f"{c}_{side}") for c in some.columns if c != key or key == "fp"])
+             for side in "ab"]
+    return sides[0].join(sides[1], key).where((F.col("root_a") < F.col("root_b")) & condition).select(
+        F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+
+
+def open_pairs(lines: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY,
+               shared: DataFrame | None = None) -> DataFrame:
     """``a, b``: near lines that belong to different groups so far, from ``key, fp, root``, a number.
 
-    Blocks of a single group are left out before any two SimHashes meet, and
-    lines meet only where their SimHashes are near and their groups differ.
+    Where lines have their lengths and parities, ``n, p0, ...``, pairs that
+    these show to be unlike do not come out: long lines of common words have
+    near SimHashes, however different they are.
     """
-    parts = _spread(lines.select("fp", "root").distinct(), "root")
-    several = parts.groupBy("block").agg(F.min("root").alias("least"), F.max("root").alias("most")).where(
-        "least <> most").select("block")
-    some = parts.join(several, "block")
-    left = some.select("block", F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
-    right = some.select("block", F.col("fp").alias("fp_b"), F.col("root").alias("root_b"))
-    near = materialise(left.join(right, "block").where((F.col("root_a") < F.col("root_b")) & _near(
-        F.col("fp_a"), F.col("fp_b"), distance)).drop("block").distinct(), "open")
-    one = lines.select(F.col("key").alias("a"), F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
-    two = lines.select(F.col("key").alias("b"), F.col("fp").alias("fp_b"), F.col("root").alias("root_b"))
-    return near.join(one, ["fp_a", "root_a"]).join(two, ["fp_b", "root_b"]).select("a", "b")
+    alike = _may_be_similar(similarity) if "n" in lines.columns else F.lit(True)
+    if shared is None:
+        shared = shared_blocks(lines.select("fp").distinct(), distance)
+    same = _other_groups(lines, "fp", alike)
+    near = (F.col("fp_a") != F.col("fp_b")) & _near(F.col("fp_a"), F.col("fp_b"), distance)
+    return same.unionByName(_other_groups(shared.select("block", "fp").join(lines, "fp"), "block", near & alike))
 
 
 def _as_symbols(norm: Column) -> Column:
@@ -192,25 +221,27 @@ def _links(pairs: DataFrame, keys: DataFrame, texts: DataFrame, similarity: floa
 
 
 def line_groups(keys: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``key, root`` of lines that are linked to another, from ``key, fp, rid, pos``.
+    """``key, root`` of lines that are linked to another, from ``key, fp, rid, pos, n, p0, ...``.
 
     One row per distinct line comes in, with a place where it stands.  In a
     first pass each line is compared with one leader per SimHash and block, the
     smallest; that joins large groups of near copies with a row per line.  Then
     near lines that are in different groups still are compared pair by pair, so
-    every near pair is compared unless its lines are connected already.  Many
-    unlike lines of one SimHash stay quadratic in that second pass.
+    every near pair is compared unless its lines are connected already, or their
+    lengths and parities tell that they are unlike.  Within a block the numbers
+    of all its groups meet, in memory; only pairs that may be similar come out.
     """
     keys = keys.where("fp IS NOT NULL")
     marks = materialise(keys.groupBy("fp").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")), "marks")
-    lines = keys.select("key", "fp")
-    edges = _links(leader_pairs(lines, marks), keys, texts, similarity)
+    shared = materialise(shared_blocks(marks), "shared")
+    lines = keys.select("key", "fp", "n", *MARKS)
+    edges = _links(leader_pairs(lines.select("key", "fp"), marks, shared=shared), keys, texts, similarity)
     first = components(edges)
     # Groups by a number of 64 bits: two that share one would be taken for one group already.
     root = F.xxhash64(F.coalesce("root", "node"))
-    rooted = materialise(lines.withColumn("node", F.hex("key")).join(first, "node", "left").select(
-        "key", "fp", root.alias("root")), "rooted")
-    more = _links(open_pairs(rooted), keys, texts, similarity)
+    rooted = lines.withColumn("node", F.hex("key")).join(first, "node", "left").select(
+        "key", "fp", root.alias("root"), "n", *MARKS)
+    more = _links(open_pairs(rooted, similarity=similarity, shared=shared), keys, texts, similarity)
     tied = first if more.isEmpty() else components(edges.unionByName(more))
     return tied.select(F.unhex("node").alias("key"), F.unhex("root").alias("root"))
 
@@ -243,13 +274,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashes = materialise(line_hashes(texts.select("id", "rid", "text"), least_words(similarity)), "hashes")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "rid", "pos")
     keys = materialise(hashes.groupBy("key").agg(
-        F.min("fp").alias("fp"), F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "keys")
-    groups = line_groups(keys.select("key", "fp", "first.rid", "first.pos"), texts.select("rid", "text"),
+        *[F.min(c).alias(c) for c in ("fp", "n", *MARKS)], F.min(place).alias("first"),
+        F.count(F.lit(1)).alias("places")), "keys")
+    groups = line_groups(keys.select("key", "fp", "first.rid", "first.pos", "n", *MARKS), texts.select("rid", "text"),
                          similarity)
     rooted = materialise(keys.join(groups, "key", "left").select(
-        "key", "first", "n", F.coalesce("root", "key").alias("root")), "rooted")
+        "key", "first", "places", F.coalesce("root", "key").alias("root")), "rooted")
     # Lines that stand alone are not looked up again.
-    tops = (rooted.groupBy("root").agg(F.min("first").alias("top"), F.sum("n").alias("n"))
+    tops = (rooted.groupBy("root").agg(F.min("first").alias("top"), F.sum("places").alias("n"))
             .where("n > 1").select("root", "top"))
     kept = rooted.join(tops, "root").select(
         "key", F.col("top.rid").alias("kept_rid"), F.col("top.pos").alias("kept_pos"))

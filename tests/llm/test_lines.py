@@ -147,3 +147,20 @@ def test_columns_named_like_the_counts(spark, docs_of):
     df = docs_of([(1, "x"), (2, "x")]).withColumn("n_lines", F.lit(7))
     rows = sorted(D.line_dedup(df).collect(), key=lambda r: r.doc_id)
     assert [(r.n_lines, r._n_lines, r.n_removed) for r in rows] == [(7, 1, 0), (7, 1, 1)]
+
+
+def test_long_unlike_lines_of_near_simhashes_do_not_meet(spark, docs_of):
+    """Lines of common words have one SimHash; what is compared are the few that may be similar."""
+    rng = random.Random(4)
+    vocabulary = [f"{chr(97 + i)}{chr(97 + j)}y" for i in range(20) for j in range(20)]
+    tails = [rng.sample(vocabulary, 60) for _ in range(40)]
+    tails += [t[:50] + rng.sample(vocabulary, 10) for t in tails[:10]]
+    pairs = list(enumerate(" ".join(["same"] * 61 + t) for t in tails))
+    texts = docs_of(pairs).select(F.col("doc_id").alias("id"), F.col("doc_id").alias("rid"), "text")
+    lines = D.line_hashes(texts, 4).withColumn("root", F.xxhash64("key"))
+    assert lines.select("fp").distinct().count() == 1
+    assert D.open_pairs(lines.select("key", "fp", "root")).count() == 50 * 49 // 2
+    assert D.open_pairs(lines.select("key", "fp", "root", "n", *D.MARKS)).count() < 100
+    rows = sorted(D.line_dedup(docs_of(pairs)).collect(), key=lambda r: r.doc_id)
+    assert [r.text for r in rows] == brute(spark, pairs)
+    assert sum(r.n_removed for r in rows) == 10
