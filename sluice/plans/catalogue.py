@@ -19,7 +19,7 @@ from sluice.plans import funnel, standins
 from sluice.sources import files, records, tables
 from sluice.sources.scratch import fresh_path, materialise
 from sluice.streaming import (
-    first_deliveries, lead_stream, publish_model, score_newest, score_stream, scored_leads,
+    deliver, first_deliveries, lead_stream, publish_model, score_newest, score_stream, scored_leads,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -724,10 +724,9 @@ def score_leads_deliveries(spark, folder):
     model = _planted_model(leads)
     inbox, registry, out = (fresh_path(spark, n) for n in ("inbox", "models", "scores"))
     orders = tables.read_parquet(spark, folder, "orders")
-    for _ in range(2):
-        orders.write.mode("append").parquet(inbox)
+    files = deliver(orders, inbox, 2)
     publish_model(spark, model, registry)
-    stream = (lead_stream(spark, inbox, orders.schema, files_per_batch=len(orders.inputFiles()))
+    stream = (lead_stream(spark, inbox, orders.schema, files_per_batch=files)
               .withColumn("Start_Date", F.col("o_orderdate").cast("timestamp")))
     once = first_deliveries(stream, ["o_orderkey"], "Start_Date", "36500 days")
     score_newest(standins.lead_details(spark, folder, _arriving_orders(once)), registry, out,

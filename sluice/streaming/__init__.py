@@ -1,7 +1,7 @@
 from sluice.streaming.deliveries import (
-    delivery_counts, first_deliveries, publish_model, score_newest, scored_leads,
+    deliver, delivery_counts, first_deliveries, publish_model, score_newest, scored_leads,
 )
 from sluice.streaming.score import lead_stream, score_stream
 
-__all__ = ["delivery_counts", "first_deliveries", "lead_stream", "publish_model", "score_newest",
-           "score_stream", "scored_leads"]
+__all__ = ["deliver", "delivery_counts", "first_deliveries", "lead_stream", "publish_model",
+           "score_newest", "score_stream", "scored_leads"]

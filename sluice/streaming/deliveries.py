@@ -16,6 +16,17 @@ from sluice.sources.scratch import fresh_path
 VERSIONS = "version bigint, path string"
 
 
+def deliver(leads: DataFrame, inbox: str, times: int = 1) -> int:
+    """Write the leads to a new inbox, so many times; tells the files of one delivery.
+
+    A stream that takes that many files per batch has a batch per delivery,
+    into however many files the leads' size makes Spark write them.
+    """
+    for _ in range(times):
+        leads.write.mode("append").parquet(inbox)
+    return -(-len(leads.sparkSession.read.parquet(inbox).inputFiles()) // times)
+
+
 def first_deliveries(leads: DataFrame, key: Sequence[str], time: str, delay: str) -> DataFrame:
     """Each lead once, by key, however often it is delivered within ``delay``.
 

@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 
 from sluice.operators import models
 from sluice.streaming import (
-    delivery_counts, first_deliveries, lead_stream, publish_model, score_newest, scored_leads,
+    deliver, delivery_counts, first_deliveries, lead_stream, publish_model, score_newest, scored_leads,
 )
 
 SCHEMA = "Lead_ID long, x double, at timestamp"
@@ -74,3 +74,17 @@ def test_a_batch_that_runs_again_replaces_its_rows(spark, trained, tmp_path):
         for entry in (tmp_path / "cp" / "commits").glob("*0*"):
             entry.unlink()
     assert sorted(r.Lead_ID for r in scored_leads(spark, out).collect()) == list(range(5))
+
+
+def test_a_batch_per_delivery_of_many_files(spark, trained, tmp_path):
+    inbox, registry, out, checkpoint = (str(tmp_path / n) for n in ("in", "models", "out", "cp"))
+    publish_model(spark, trained[0], registry)
+    rows = leads(spark, range(50), 1).repartition(5)
+    files = deliver(rows, inbox, 2)
+    assert files == 5
+    stream = first_deliveries(lead_stream(spark, inbox, rows.schema, files_per_batch=files), ["Lead_ID"], "at", "5 days")
+    query = score_newest(stream, registry, out, checkpoint, ["Lead_ID"])
+    query.awaitTermination()
+    counts = sorted((r.arrived, r.repeated) for r in delivery_counts(spark, query).collect() if r.arrived)
+    assert counts == [(50, 0), (50, 50)]
+    assert scored_leads(spark, out).count() == 50
