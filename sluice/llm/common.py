@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import functools
+import threading
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,3 +37,36 @@ def text_bytes(docs: DataFrame, text: str) -> int:
 def parts_for(n: int, each: int, most: int = 100_000) -> int:
     """How many parts of about ``each`` make up ``n``; ``most`` only widens the parts."""
     return max(1, min(most, -(-n // each)))
+
+
+#: Spark's setting by which the shuffle files of a job go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning: dict[str, list] = {}
+_lock = threading.Lock()
+
+
+def without_shuffles_left(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Jobs that the operator runs while it builds its result leave no shuffle files behind.
+
+    Without it they stay until the driver collects garbage, and the disk holds
+    those of all steps at once.  Only for operators that write each step and
+    read the files.  The setting of the session is put back, after the last of
+    the operators that run side by side.
+    """
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **more) -> DataFrame:
+        conf, app = docs.sparkSession.conf, docs.sparkSession.sparkContext.applicationId
+        with _lock:
+            held = _cleaning.setdefault(app, [0, conf.get(CLEANUP, None)])
+            held[0] += 1
+            conf.set(CLEANUP, "true")
+        try:
+            out = operator(docs, *args, **more)
+        finally:
+            with _lock:
+                held[0] -= 1
+                if not held[0]:
+                    del _cleaning[app]
+                    conf.unset(CLEANUP) if held[1] is None else conf.set(CLEANUP, held[1])
+        return out.select("*")  # a frame keeps to the setting it was made under
+    return run

@@ -10,10 +10,11 @@ import math
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import free_name, fresh_path, materialise, parts_for, quoted, text_bytes
+from sluice.llm.common import (free_name, fresh_path, materialise, parts_for, quoted, text_bytes,
+                               without_shuffles_left)
 from sluice.llm.components import components
 
 BITS = 64
@@ -65,7 +66,7 @@ def _pairs_of_bits() -> list[Column]:
 
 def _parities(h: Column) -> list[Column]:
     """Whether a line has an odd number of words of each of 64 * ``PARITIES`` kinds."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
     kind = F.pmod(F.shiftrightunsigned(h, 6), F.lit(PARITIES))
     return [F.bit_xor(F.when(kind == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{j}") for j in range(PARITIES)]
 
@@ -91,10 +92,11 @@ def line_hashes(texts: DataFrame, least: int) -> DataFrame:
     """
     lines = (texts.select("id", "rid", F.posexplode(F.transform(F.split("text", "\n", -1), normalised))
                           .alias("pos", "norm")).where("norm <> ''"))
-    words = lines.select("id", "rid", "pos", F.unhex(F.md5("norm")).alias("key"),
-                         F.posexplode(F.split("norm", " ")).alias("at", "word"))
     line, h = ["id", "rid", "pos", "key"], F.col("h")
-    some = words.select(*line, F.floor(F.col("at") / SHORT).alias("part"), F.xxhash64("word").alias("h")).groupBy(
+    # The digest has a select of its own: beside the words it would be computed once per word.
+    words = lines.select("id", "rid", "pos", F.unhex(F.md5("norm")).alias("key"), "norm").select(
+        *line, F.posexplode(F.split("norm", " ")).alias("at", "word"))
+    some = words.select(*line, F.expr(f"at DIV {SHORT}").alias("part"), F.xxhash64("word").alias("h")).groupBy(
         *line, "part").agg(F.count(F.lit(1)).alias("n"), *_lanes(h), *_parities(h))
     sums = some.groupBy(*line).agg(F.sum("n").alias("n"), *_pairs_of_bits(), *[F.bit_xor(p).alias(p) for p in MARKS])
     return sums.select(*line, F.when(F.col("n") >= least, _simhash()).alias("fp"), "n", *MARKS)
@@ -121,11 +123,17 @@ def _spread(marks: DataFrame, *more: str, distance: int = DISTANCE) -> DataFrame
 
 
 def shared_blocks(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``block, fp, lead``: SimHashes per block that holds more than one, and the smallest there."""
-    parts = _spread(marks.select("fp"), distance=distance).repartition("block")
-    several = parts.groupBy("block").agg(F.min("fp").alias("lead"), F.max("fp").alias("last")).where(
-        "lead <> last").select("block", "lead")
-    return parts.join(several, "block").select("block", "fp", "lead")
+    """``block, fp, lead``: SimHashes that are near another of their block, and the smallest of these.
+
+    Most share a block by chance alone.  To stay, one that is near is enough, so
+    no pairs come out.
+    """
+    # Null ones are left out here and no column is renamed, so that both sides read the same shuffle.
+    parts = _spread(marks.select("fp").where("fp IS NOT NULL"), distance=distance)
+    one, two = F.col("one.fp"), F.col("two.fp")
+    near = parts.alias("one").join(parts.alias("two"), (F.col("one.block") == F.col("two.block")) & (one != two) & _near(
+        one, two, distance), "left_semi")
+    return near.select("block", "fp", F.min("fp").over(Window.partitionBy("block")).alias("lead"))
 
 
 def leader_pairs(lines: DataFrame, marks: DataFrame, distance: int = DISTANCE,
@@ -232,8 +240,12 @@ def line_groups(keys: DataFrame, texts: DataFrame, similarity: float = SIMILARIT
     of all its groups meet, in memory; only pairs that may be similar come out.
     """
     keys = keys.where("fp IS NOT NULL")
+    fps = materialise(keys.groupBy("fp").agg(F.count(F.lit(1)).alias("n")), "fps")
+    shared = materialise(shared_blocks(fps), "shared")
+    # Most lines are near no other, and go no further.
+    near = shared.select("fp").unionByName(fps.where("n > 1").select("fp")).distinct()
+    keys = materialise(keys.join(near, "fp", "left_semi"), "close")
     marks = materialise(keys.groupBy("fp").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")), "marks")
-    shared = materialise(shared_blocks(marks), "shared")
     lines = keys.select("key", "fp", "n", *MARKS)
     edges = _links(leader_pairs(lines.select("key", "fp"), marks, shared=shared), keys, texts, similarity)
     first = components(edges)
@@ -246,6 +258,7 @@ def line_groups(keys: DataFrame, texts: DataFrame, similarity: float = SIMILARIT
     return tied.select(F.unhex("node").alias("key"), F.unhex("root").alias("root"))
 
 
+@without_shuffles_left
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                similarity: float = SIMILARITY) -> DataFrame:
     """The documents, all columns, with ``text`` reduced, and ``n_lines, n_removed``.

@@ -1,11 +1,13 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 import regex
 from pyspark.sql import functions as F
 
+from sluice.llm import common as C
 from sluice.llm import line_dedup as D
 
 
@@ -164,3 +166,65 @@ def test_long_unlike_lines_of_near_simhashes_do_not_meet(spark, docs_of):
     rows = sorted(D.line_dedup(docs_of(pairs)).collect(), key=lambda r: r.doc_id)
     assert [r.text for r in rows] == brute(spark, pairs)
     assert sum(r.n_removed for r in rows) == 10
+
+
+def test_blocks_keep_only_near_simhashes(spark):
+    """Of SimHashes that share a block, those that are near none go; none of a near pair does."""
+    rng = random.Random(3)
+    fps = [5 + (rng.getrandbits(36) << 27) for _ in range(300)]
+    fps += [fps[0] ^ 7 << 40, fps[1] ^ 1 << 30]
+    pairs = [(a, b) for a in fps for b in fps if a != b and (a ^ b).bit_count() <= 3]
+    rows = D.shared_blocks(spark.createDataFrame([(f,) for f in [*fps, None]], "fp long")).collect()
+    blocks = {f: {r.block for r in rows if r.fp == f} for f in fps}
+    assert {f for f in fps if blocks[f]} == {a for a, _ in pairs}
+    assert len(pairs) < 20 and all(blocks[a] & blocks[b] for a, b in pairs)
+    assert all(r.lead == min(x.fp for x in rows if x.block == r.block) for r in rows)
+
+
+def test_digest_once_per_line(spark, docs_of):
+    """The digest of a line is computed before its words are rows."""
+    texts = docs_of([(1, "a b c d")]).select(F.col("doc_id").alias("id"), F.col("doc_id").alias("rid"), "text")
+    plan = D.line_hashes(texts, 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("md5(") == 1
+    assert plan.index("md5(") > plan.index("posexplode(split(norm")
+
+
+def test_steps_leave_no_shuffle_files(spark, docs_of):
+    """What a step shuffled is gone from the disk when the operator returns, and the setting is as before."""
+    def held():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().endswith(".data")}
+    rng = random.Random(6)
+    words = [f"{chr(97 + i)}{chr(97 + j)}z" for i in range(20) for j in range(20)]
+    docs = docs_of([(k, "\n".join(" ".join(rng.sample(words, 12)) for _ in range(6))) for k in range(40)])
+    setting = spark.conf.get(C.CLEANUP, None)
+    before = held()
+    out = D.line_dedup(docs)
+    for _ in range(50):
+        if not (left := held() - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(C.CLEANUP, None) == setting
+    assert out._jdf.queryExecution().shuffleCleanupMode().toString().startswith("DoNotCleanup")
+    assert sorted(out.collect()) == sorted(out.collect()) and out.count() == 40
+
+
+def test_setting_comes_back_after_nested_and_failed_runs(spark, docs_of):
+    docs, seen = docs_of([(1, "x")]), []
+    setting = spark.conf.get(C.CLEANUP, None)
+
+    @C.without_shuffles_left
+    def fails(docs):
+        seen.append(spark.conf.get(C.CLEANUP))
+        raise ValueError
+
+    @C.without_shuffles_left
+    def outer(docs):
+        with pytest.raises(ValueError):
+            fails(docs)
+        seen.append(spark.conf.get(C.CLEANUP))
+        return docs
+    outer(docs)
+    assert seen == ["true", "true"]
+    assert spark.conf.get(C.CLEANUP, None) == setting
