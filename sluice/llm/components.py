@@ -29,6 +29,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
+def _numbered(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The edges with numbers for nodes, in the order of the nodes, and ``name, number``."""
+    names = edges.select(F.explode(F.array("u", "v")).alias("name")).distinct().sort("name")
+    names = materialise(names.withColumn("number", F.monotonically_increasing_id()), "names")
+    for side in "uv":
+        ends = names.select(F.col("name").alias(side), F.col("number").alias(f"number_{side}"))
+        edges = edges.join(ends, side)
+    return edges.select(F.col("number_u").alias("u"), F.col("number_v").alias("v")), names
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Columns ``u, v`` in, ``node, root`` out: the smallest node it is connected to.
 
@@ -37,7 +47,10 @@ def components(edges: DataFrame) -> DataFrame:
     the number of rounds grows with the logarithm of the graph.  A node with
     many neighbours never meets them in one task: minima are taken first.
     """
-    edges = materialise(edges.where("u <> v").select(
+    edges, names = edges.where("u <> v"), None
+    if dict(edges.dtypes)["u"] == "string":  # minima of numbers need no sort
+        edges, names = _numbered(materialise(edges, "named"))
+    edges = materialise(edges.select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = _mark(edges)
     while before[0]:
@@ -46,4 +59,8 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    if names is None:
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    nodes, roots = (names.select(F.col("number").alias(end), F.col("name").alias(name))
+                    for end, name in (("u", "node"), ("v", "root")))
+    return materialise(edges.join(nodes, "u").join(roots, "v").select("node", "root"), "components")

@@ -42,15 +42,19 @@ def normalised(line: Column) -> Column:
 
 
 def _simhash(n: str = "n") -> Column:
-    """Majority of each bit from the 32 columns ``s0, s1, ...`` that count two bits each."""
-    bits = []
-    for j in range(32):
-        both = F.col(f"s{j}")
-        low, high = both.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(both, 32)
-        bits.append(F.when(low * 2 > F.col(n), F.lit(1 << j)).otherwise(F.lit(0).cast("long")))
-        top = 1 << (j + 32) if j < 31 else -(1 << 63)
-        bits.append(F.when(high * 2 > F.col(n), F.lit(top)).otherwise(F.lit(0).cast("long")))
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+    """Majority of each bit from the 32 columns ``s0, s1, ...`` that count two bits each.
+
+    Counts are below 2^30, so one addition carries into bit 30 of both where they
+    are over half of ``n``.  It stands in a lambda, as the code made for 32 sums
+    and this together is a method too long for the JVM to compile.
+    """
+    def bits(short: Column) -> Column:
+        over = [(F.col(f"s{j}") + short).bitwiseAND(F.lit(0x4000000040000000)) for j in range(32)]
+        return reduce(lambda a, b: a.bitwiseOR(b), [
+            F.shiftrightunsigned(o, 30 - j) if j <= 30 else F.shiftleft(o, j - 30) for j, o in enumerate(over)])
+
+    lacks = F.lit((1 << 30) - 1) - F.shiftrightunsigned(n, 1)
+    return F.transform(F.array((lacks * F.lit((1 << 32) + 1)).cast("long")), bits)[0]
 
 
 def _lanes(h: Column) -> list[Column]:
@@ -92,14 +96,19 @@ def line_hashes(texts: DataFrame, least: int) -> DataFrame:
     """
     lines = (texts.select("id", "rid", F.posexplode(F.transform(F.split("text", "\n", -1), normalised))
                           .alias("pos", "norm")).where("norm <> ''"))
-    line, h = ["id", "rid", "pos", "key"], F.col("h")
+    line, h = ["id", "rid", "pos", "high", "low"], F.col("h")
     # The digest has a select of its own: beside the words it would be computed once per word.
-    words = lines.select("id", "rid", "pos", F.unhex(F.md5("norm")).alias("key"), "norm").select(
-        *line, F.posexplode(F.split("norm", " ")).alias("at", "word"))
+    # Words are counted by its halves as numbers, as a binary would be copied for each.
+    halves = [F.conv(F.substring("digest", at, 16), 16, -10).cast("long").alias(c)
+              for at, c in ((1, "high"), (17, "low"))]
+    words = lines.select("id", "rid", "pos", F.md5("norm").alias("digest"), "norm").select(
+        "id", "rid", "pos", *halves, "norm").select(*line, F.posexplode(F.split("norm", " ")).alias("at", "word"))
     some = words.select(*line, F.expr(f"at DIV {SHORT}").alias("part"), F.xxhash64("word").alias("h")).groupBy(
         *line, "part").agg(F.count(F.lit(1)).alias("n"), *_lanes(h), *_parities(h))
     sums = some.groupBy(*line).agg(F.sum("n").alias("n"), *_pairs_of_bits(), *[F.bit_xor(p).alias(p) for p in MARKS])
-    return sums.select(*line, F.when(F.col("n") >= least, _simhash()).alias("fp"), "n", *MARKS)
+    key = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("high", "low")]))
+    return sums.select("id", "rid", "pos", key.alias("key"), F.when(F.col("n") >= least, _simhash()).alias("fp"), "n",
+                       *MARKS)
 
 
 def block_keys(fp: Column, blocks: int = BLOCKS, distance: int = DISTANCE) -> Column:
@@ -210,7 +219,8 @@ def _lines_of(keys: DataFrame, texts: DataFrame) -> DataFrame:
     """``key, line``: lines by key as strings of symbols, from a place where each stands."""
     needed = keys.groupBy("rid").agg(F.collect_list(F.struct("pos", "key")).alias("needed"))
     # Only lines that are compared are normalised again; "lines" is named twice, so it is split once.
-    return (texts.join(needed, "rid").select(F.split("text", "\n", -1).alias("lines"), "needed")
+    # The small side is hashed, by bucket, so that texts are not sorted.
+    return (texts.join(needed.hint("shuffle_hash"), "rid").select(F.split("text", "\n", -1).alias("lines"), "needed")
             .select(F.explode(F.transform("needed", lambda x: F.struct(
                 x["key"].alias("key"),
                 F.when(x["pos"] < F.size("lines"), _as_symbols(normalised(F.col("lines")[x["pos"]])))
@@ -254,7 +264,8 @@ def line_groups(keys: DataFrame, texts: DataFrame, similarity: float = SIMILARIT
     rooted = lines.withColumn("node", F.hex("key")).join(first, "node", "left").select(
         "key", "fp", root.alias("root"), "n", *MARKS)
     more = _links(open_pairs(rooted, similarity=similarity, shared=shared), keys, texts, similarity)
-    tied = first if more.isEmpty() else components(edges.unionByName(more))
+    tied = first if more.isEmpty() else components(
+        first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
     return tied.select(F.unhex("node").alias("key"), F.unhex("root").alias("root"))
 
 
@@ -281,7 +292,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_lines, n_removed = (free_name(docs.columns, c) for c in ("n_lines", "n_removed"))
     (docs.select(F.monotonically_increasing_id().alias("rid"), quoted(id_col).alias("id"),
                  quoted(text_col).alias("text"), F.struct(*map(quoted, others)).alias("rest"))
-     .repartition(buckets, "rid").write.bucketBy(buckets, "rid").option("compression", "zstd")
+     .repartition(buckets, "rid").write.bucketBy(buckets, "rid").option("compression", "snappy")
      .option("path", fresh_path(spark, "lines")).saveAsTable(name))
     texts = spark.table(name)
     hashes = materialise(line_hashes(texts.select("id", "rid", "text"), least_words(similarity)), "hashes")
@@ -291,9 +302,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.count(F.lit(1)).alias("places")), "keys")
     groups = line_groups(keys.select("key", "fp", "first.rid", "first.pos", "n", *MARKS), texts.select("rid", "text"),
                          similarity)
-    rooted = materialise(keys.join(groups, "key", "left").select(
+    groups = groups.unionByName(groups.select(F.col("root").alias("key"), "root").distinct())
+    # Lines that stand once and are like no other go no further.
+    rooted = materialise(keys.join(groups, "key", "left").where("places > 1 OR root IS NOT NULL").select(
         "key", "first", "places", F.coalesce("root", "key").alias("root")), "rooted")
-    # Lines that stand alone are not looked up again.
     tops = (rooted.groupBy("root").agg(F.min("first").alias("top"), F.sum("places").alias("n"))
             .where("n > 1").select("root", "top"))
     kept = rooted.join(tops, "root").select(
@@ -304,7 +316,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = F.split("text", "\n", -1)
     numbers = F.sequence(F.lit(0), F.size("lines") - 1)
     left = F.array_except(numbers, F.col("gone"))
-    return (texts.join(gone, "rid", "left").withColumn("lines", lines)
+    return (texts.join(gone.hint("shuffle_hash"), "rid", "left").withColumn("lines", lines)
             .withColumn("left", F.when(F.col("gone").isNotNull(), left))
             .select(*[F.when(F.col("left").isNull(), F.col("text")).otherwise(F.array_join(
                 F.transform("left", lambda i: F.col("lines")[i]), "\n")).alias(c)

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 import time
@@ -228,3 +229,43 @@ def test_setting_comes_back_after_nested_and_failed_runs(spark, docs_of):
     outer(docs)
     assert seen == ["true", "true"]
     assert spark.conf.get(C.CLEANUP, None) == setting
+
+
+def test_hashing_is_code_that_the_jvm_compiles(spark, docs_of):
+    """Methods over 8000 bytes are never compiled; a CASE per bit of the SimHash made one of 13,556."""
+    texts = docs_of([(1, "a b c d")]).select(F.col("doc_id").alias("id"), F.col("doc_id").alias("rid"), "text")
+    setting = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")  # else the code is not known before the run
+    try:
+        plan = D.line_hashes(texts.repartition(2, "rid"), 4)._jdf.queryExecution()
+        code = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.set(setting, before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+    assert "Project" in code
+
+
+def test_digest_keeps_all_its_bits(spark, docs_of):
+    """The halves of a digest may begin with zeros or be negative."""
+    norms = [f"{chr(97 + i)}{chr(97 + j)}w" for i in range(26) for j in range(26)]
+    texts = docs_of([(1, "\n".join(norms))]).select(F.col("doc_id").alias("id"), F.col("doc_id").alias("rid"), "text")
+    rows = D.line_hashes(texts, 4).select("pos", F.hex("key").alias("key")).collect()
+    assert {r.pos: r.key.lower() for r in rows} == {k: hashlib.md5(n.encode()).hexdigest() for k, n in enumerate(norms)}
+
+
+def test_components_of_names_are_found_by_numbers(spark):
+    """Names get numbers in their order, so the root is the smallest name still."""
+    rng = random.Random(5)
+    names = [f"{rng.getrandbits(64):016X}" for _ in range(60)]
+    edges = [(rng.choice(names[g::6]), rng.choice(names[g::6])) for g in range(6) for _ in range(30)]
+    root = {n: {n} for n in names}
+    for a, b in edges:
+        both = root[a] | root[b]
+        for n in both:
+            root[n] = both
+    got = {r.node: r.root for r in D.components(spark.createDataFrame(edges, "u string, v string")).collect()}
+    assert got == {n: min(g) for n, g in root.items() if n != min(g)}
+    none = D.components(spark.createDataFrame([], "u string, v string"))
+    assert none.dtypes == [("node", "string"), ("root", "string")] and none.count() == 0
